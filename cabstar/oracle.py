@@ -328,3 +328,6 @@ def with_ctes(final_select: str, needs: list[str]) -> str:
 
 def table_sql(name: str) -> str:
     return with_ctes(f"SELECT * FROM {name}", [name])
+
+
+CTES["fact_trip"] = ("SELECT * FROM fact", ["fact"])

@@ -12,9 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cabstar.operators.audit import LoadInfo
 from cabstar.oracle import BATCH_ID, LOAD_COMPLETED, LOAD_STARTED
+from cabstar.plans import bi, checks, reports
+from cabstar.plans.star import star_view
 from cabstar.plans.warehouse import Warehouse
 from cabstar.sources.trips import raw_trips, zone_lookup
 
+# Fixed filter set of the registered dashboard-filter query.
+DASHBOARD_FILTERS = bi.FilterSet(
+    date_from="1996-01-01",
+    date_to="1997-12-31",
+    payment_types=("No charge", "Dispute"),
+    passenger_groups=("Small Group",),
+    dayparts=("Evening", "Night"),
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FIXED_LOAD = LoadInfo(batch_id=BATCH_ID, load_started_utc=LOAD_STARTED, load_completed_utc=LOAD_COMPLETED)
@@ -49,4 +60,46 @@ QUERIES: dict[str, Query] = {
     "summary_vendor": _w(lambda w: w.summaries["vendor"]),
     "summary_payment": _w(lambda w: w.summaries["payment"]),
     "summary_location": _w(lambda w: w.summaries["location"]),
+    # validation suite
+    "check_row_counts": _w(checks.row_counts),
+    "reconcile_rows": _w(checks.reconcile_rows),
+    "reconcile_revenue": _w(checks.reconcile_revenue),
+    "reconcile_summaries": _w(checks.reconcile_summaries),
+    "check_duplicate_ids": _w(checks.duplicate_ids),
+    "check_null_pk": _w(checks.null_primary_keys),
+    "check_null_fk": _w(checks.null_foreign_keys),
+    "check_fact_fk": _w(checks.fact_orphans),
+    "check_summary_fk": _w(checks.summary_orphans),
+    "check_date_join": _w(checks.date_joins),
+    "check_unknown_members": _w(checks.unknown_members),
+    "check_dim_unique": _w(checks.dimension_uniqueness),
+    "check_partitions": _w(checks.partitions),
+    # reports
+    "report_quality": _w(reports.quality_distribution),
+    "report_batches": _w(reports.batch_audit),
+    "report_daily": _w(reports.daily_revenue),
+    "report_vendor": _w(reports.vendor_performance),
+    "report_payment": _w(reports.payment_behaviour),
+    # dashboard queries
+    "bi_kpi": _w(bi.kpis),
+    "bi_monthly_metrics": _w(bi.monthly_metrics),
+    "bi_revenue_by_date": _w(bi.revenue_by_date),
+    "bi_revenue_by_month": _w(bi.revenue_by_month),
+    "bi_revenue_by_quarter": _w(bi.revenue_by_quarter),
+    "bi_weekend": _w(bi.weekend_vs_weekday),
+    "bi_vendor_revenue": _w(bi.revenue_by_vendor),
+    "bi_payment_share": _w(bi.payment_share),
+    "bi_heatmap": _w(bi.weekday_hour_heatmap),
+    "bi_daypart": _w(bi.revenue_by_daypart),
+    "bi_vendor_table": _w(bi.vendor_table),
+    "bi_payment_table": _w(bi.payment_table),
+    "bi_top_pickup_zones": _w(bi.top_pickup_zones),
+    "bi_top_dropoff_zones": _w(bi.top_dropoff_zones),
+    "bi_routes": _w(bi.routes),
+    "bi_filtered": _w(lambda w: bi.filtered_kpis_by_vendor(w, DASHBOARD_FILTERS)),
+    "bi_peak_days": _w(bi.peak_days),
+    "bi_store_fwd": _w(bi.store_and_forward),
+    "bi_rate_code": _w(bi.rate_code_revenue),
+    "bi_passenger_group": _w(bi.passenger_groups),
+    "star_view": _w(lambda w: star_view(w.fact, w.dims)),
 }
