@@ -9,6 +9,7 @@ optimizer real file sizes for its broadcast decisions downstream.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -19,6 +20,7 @@ from cabstar.operators import dims as D
 from cabstar.operators.audit import LoadInfo, dim_ingestion_batch, load_counts
 from cabstar.operators.cleanse import cleanse
 from cabstar.operators.fact import build_fact_trip
+from cabstar.operators.lineage import release_cached
 from cabstar.operators.marts import MARTS, build_marts_combined, split_marts
 from cabstar.operators.summaries import SUMMARIES, build_summaries_combined, split_summaries
 from cabstar.session import checkpoint_dir
@@ -148,14 +150,23 @@ def build_warehouse(
     zones: DataFrame | None = None,
     date_range: tuple[str, str] | None = None,
     row_number_partitions: int | None = None,
+    timings: dict[str, float] | None = None,
 ) -> Warehouse:
     """Load every layer to ``base_path/<table>`` and return a Warehouse over the files.
 
     Partitioned tables use dynamic overwrite: a run replaces only the months it holds.
-    The audit table is appended; reusing a batch id is refused.
+    The audit table is appended; reusing a batch id is refused. ``timings`` (optional)
+    receives the wall-clock seconds of each layer.
     """
     spark = raw.sparkSession
     base = base_path.rstrip("/")
+    clock = {"t": time.perf_counter()}
+
+    def lap(label: str) -> None:
+        now = time.perf_counter()
+        if timings is not None:
+            timings[label] = now - clock["t"]
+        clock["t"] = now
 
     def path(name: str) -> str:
         return f"{base}/{name}"
@@ -167,13 +178,17 @@ def build_warehouse(
     done: dict[str, DataFrame] = {}
     lazy = Warehouse(raw, info, zones, date_range, row_number_partitions)
     done["silver"] = persist("silver", lazy.silver)
+    lap("cleanse")
 
     staged = Warehouse(raw, info, zones, date_range, row_number_partitions, overrides=dict(done))
     mart_rows = _checkpointed(build_marts_combined(staged.silver))
     for n, df in split_marts(mart_rows).items():
         done[MART_TABLES[n]] = persist(MART_TABLES[n], df)
+    lap("marts")
 
     done["fact_trip"] = persist("fact_trip", staged.fact)
+    release_cached()
+    lap("fact")
     codes = _checkpointed(D.fact_codes(done["fact_trip"]))
     staged = Warehouse(raw, info, zones, date_range, row_number_partitions, overrides={**done, "_codes": codes})
 
@@ -182,10 +197,12 @@ def build_warehouse(
         mode = "append" if name == "dim_ingestion_batch" else "overwrite"
         write_table(df.coalesce(1), path(name), None, mode=mode)
         done[name] = read_table(spark, path(name))
+    lap("dimensions")
 
     summary_rows = _checkpointed(build_summaries_combined(done["fact_trip"]))
     for n, df in split_summaries(summary_rows).items():
         done[SUMMARY_TABLES[n]] = persist(SUMMARY_TABLES[n], df)
+    lap("summaries")
 
     return Warehouse(raw, info, zones, date_range, row_number_partitions, overrides=done)
 
