@@ -55,7 +55,12 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     match = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(match.group(1)) if match else None
-    spark = get_session(f"local[{cpus}]", app_name="cabstar-bench", shuffle_partitions=max(8, 2 * cpus))
+    # Output files and shuffle partitions sized for this data volume (on a cluster the
+    # advisory size would be 128-256 MB).
+    spark = get_session(
+        f"local[{cpus}]", app_name="cabstar-bench", shuffle_partitions=max(8, 2 * cpus),
+        extra_conf={"spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get("BENCH_ADVISORY", "64m")},
+    )
     out = tempfile.mkdtemp(prefix="cabstar-bench-")
 
     # warm-up: JVM, codegen and file listing on the smallest data

@@ -12,29 +12,22 @@ The first term comes from a per-(file, partition) count table whose size is boun
 ``partitions + files`` rows (range partitions are contiguous in (file, keys) order, so a
 partition touches a contiguous run of files); it is broadcast.
 
-The counts and the numbering must see the *same* range partitions. Two separate range
-exchanges would each sample their own bounds, so the indexed frame is persisted
-(memory and disk) and both read it: one range shuffle, one partitioner. A lost cached
-block is recomputed from that same shuffle and partitioner, so it holds the same rows
-in the same sorted order; per-(file, partition) counts do not depend on the order of
-tied rows, so the numbers stay consistent under task retries.
+The counts and the numbering must see the *same* range partitions: two separate range
+exchanges would each sample their own bounds. The indexed frame (rows with their
+partition id and position) is therefore written once to the shared checkpoint folder
+and both the counts and the numbering read that table. This cuts the lineage: a lost
+executor never re-runs the range shuffle with different bounds, and nothing depends on
+a cache that could be evicted.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID, _MID, _FIRST, _OFFSET = "_lin_pid", "_lin_mid", "_lin_first", "_lin_offset"
-
-_persisted: list[DataFrame] = []
+from cabstar.sources.sinks import materialize
 
-
-def release_cached() -> None:
-    """Unpersist the indexed frames of every numbering built so far (after writing)."""
-    while _persisted:
-        _persisted.pop().unpersist()
+_PID, _MID, _FIRST, _OFFSET = "_lin_pid", "_lin_mid", "_lin_first", "_lin_offset"
 
 
 def number_within(
@@ -48,16 +41,16 @@ def number_within(
 
     Ordering is ascending with NULLs first, as in Spark's window default.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The session's shuffle-partition setting is sized for the cluster and data; plan
+    # size estimates are not used (without CBO they multiply across joins).
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(group_col).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order_cols]]
-    indexed = (
+    indexed = materialize(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
-        .withColumns({_PID: F.spark_partition_id(), _MID: F.monotonically_increasing_id()})
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .withColumns({_PID: F.spark_partition_id(), _MID: F.monotonically_increasing_id()}),
+        "lineage",
     )
-    _persisted.append(indexed)
 
     before = Window.partitionBy("_lin_group").orderBy("_lin_pid2").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -20,12 +20,10 @@ from cabstar.operators import dims as D
 from cabstar.operators.audit import LoadInfo, dim_ingestion_batch, load_counts
 from cabstar.operators.cleanse import cleanse
 from cabstar.operators.fact import build_fact_trip
-from cabstar.operators.lineage import release_cached
 from cabstar.operators.marts import MARTS, build_marts_combined, split_marts
 from cabstar.operators.summaries import SUMMARIES, build_summaries_combined, split_summaries
-from cabstar.session import checkpoint_dir
 from cabstar.sources import reference as ref
-from cabstar.sources.sinks import read_table, write_table
+from cabstar.sources.sinks import materialize, read_table, write_table, write_tables
 
 PERIOD = ["pickup_year", "pickup_month"]
 
@@ -137,12 +135,6 @@ class Warehouse:
         return out
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise a small intermediate in the shared checkpoint folder (cuts lineage)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def build_warehouse(
     raw: DataFrame,
     base_path: str,
@@ -171,8 +163,8 @@ def build_warehouse(
     def path(name: str) -> str:
         return f"{base}/{name}"
 
-    def persist(name: str, df: DataFrame) -> DataFrame:
-        write_table(df, path(name), TABLE_PARTITIONS[name] or None)
+    def persist(name: str, df: DataFrame, rebalance: bool = True) -> DataFrame:
+        write_table(df, path(name), TABLE_PARTITIONS[name] or None, rebalance=rebalance)
         return read_table(spark, path(name))
 
     done: dict[str, DataFrame] = {}
@@ -181,32 +173,40 @@ def build_warehouse(
     lap("cleanse")
 
     staged = Warehouse(raw, info, zones, date_range, row_number_partitions, overrides=dict(done))
-    mart_rows = _checkpointed(build_marts_combined(staged.silver))
-    for n, df in split_marts(mart_rows).items():
-        done[MART_TABLES[n]] = persist(MART_TABLES[n], df)
+    mart_rows = materialize(build_marts_combined(staged.silver), "marts")
+    _write_all(spark, {MART_TABLES[n]: df for n, df in split_marts(mart_rows).items()}, path, done)
     lap("marts")
 
-    done["fact_trip"] = persist("fact_trip", staged.fact)
-    release_cached()
+    # The fact leaves the lineage numbering range-partitioned on (file, pickup time, ...):
+    # each task already holds a narrow slice of months, so it is written without a
+    # further shuffle.
+    done["fact_trip"] = persist("fact_trip", staged.fact, rebalance=False)
     lap("fact")
-    codes = _checkpointed(D.fact_codes(done["fact_trip"]))
+    codes = materialize(D.fact_codes(done["fact_trip"]), "codes")
     staged = Warehouse(raw, info, zones, date_range, row_number_partitions, overrides={**done, "_codes": codes})
 
     _refuse_duplicate_batch(spark, path("dim_ingestion_batch"), info.batch_id)
-    for name, df in staged.dims.items():
-        mode = "append" if name == "dim_ingestion_batch" else "overwrite"
-        write_table(df.coalesce(1), path(name), None, mode=mode)
-        done[name] = read_table(spark, path(name))
+    _write_all(spark, {name: df.coalesce(1) for name, df in staged.dims.items()}, path, done)
     lap("dimensions")
 
-    summary_rows = _checkpointed(build_summaries_combined(done["fact_trip"]))
-    for n, df in split_summaries(summary_rows).items():
-        done[SUMMARY_TABLES[n]] = persist(SUMMARY_TABLES[n], df)
+    summary_rows = materialize(build_summaries_combined(done["fact_trip"]), "summaries")
+    _write_all(spark, {SUMMARY_TABLES[n]: df for n, df in split_summaries(summary_rows).items()}, path, done)
     lap("summaries")
 
     return Warehouse(raw, info, zones, date_range, row_number_partitions, overrides=done)
 
 
+def _write_all(spark: SparkSession, tables: dict[str, DataFrame], path, done: dict[str, DataFrame]) -> None:
+    """Write independent tables concurrently, then register their read-back frames."""
+    jobs = [
+        (df, path(name), TABLE_PARTITIONS[name] or None, "append" if name == "dim_ingestion_batch" else "overwrite")
+        for name, df in tables.items()
+    ]
+    write_tables(jobs)
+    for name in tables:
+        done[name] = read_table(spark, path(name))
+
+
 def _refuse_duplicate_batch(spark: SparkSession, audit_path: str, batch_id: str) -> None:
     try:
         existing = read_table(spark, audit_path)

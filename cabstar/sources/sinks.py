@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cabstar.session import checkpoint_dir
+
 
 def write_table(
     df: DataFrame,
@@ -19,15 +24,13 @@ def write_table(
     execution then splits hot partitions (a month holding a third of the rows is
     written by many tasks) and merges small ones, instead of one task per partition.
     """
-    spark = df.sparkSession
     writer_df = df
     if partition_cols and rebalance:
         writer_df = df.hint("rebalance", *partition_cols)
     writer = writer_df.write.mode(mode).format("parquet").option("compression", "snappy")
     if partition_cols:
         # Dynamic overwrite: partitions absent from this run survive.
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        writer = writer.partitionBy(*partition_cols)
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
     writer.save(path)
 
 
@@ -35,6 +38,32 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write an intermediate to the shared checkpoint folder and read it back.
+
+    Cuts lineage like ``checkpoint()`` but in one job (a reliable RDD checkpoint
+    recomputes its input unless it was cached first), and the read-back frame carries
+    real file-size statistics for the optimizer.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cabstar-{label}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
+
+
+def write_tables(jobs: list[tuple[DataFrame, str, list[str] | None, str]], parallel: int = 4) -> None:
+    """Write independent small tables concurrently: (df, path, partition_cols, mode).
+
+    Each write is its own Spark job; submitting them from several driver threads lets
+    the scheduler overlap their (mostly fixed-cost) stages instead of running them back
+    to back.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = [pool.submit(write_table, df, path, parts, mode) for df, path, parts, mode in jobs]
+        for f in futures:
+            f.result()
+
+
 def register_table(
     spark: SparkSession, database: str, name: str, path: str, partition_cols: list[str] | None = None
 ) -> None:
