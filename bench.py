@@ -59,7 +59,7 @@ def main() -> None:
     # advisory size would be 128-256 MB).
     spark = get_session(
         f"local[{cpus}]", app_name="cabstar-bench", shuffle_partitions=max(8, 2 * cpus),
-        extra_conf={"spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get("BENCH_ADVISORY", "64m")},
+        extra_conf={"spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get("BENCH_ADVISORY", "16m")},
     )
     out = tempfile.mkdtemp(prefix="cabstar-bench-")
 
