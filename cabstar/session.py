@@ -57,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) for this cluster")
         configured = tempfile.mkdtemp(prefix="cabstar-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
