@@ -51,7 +51,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     used as given. Only when nothing is configured (local tests) a scratch folder is
     created, so a machine-local path is never chosen when the cluster names one.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no driver-side context, use the conf
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS)")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -101,3 +101,15 @@ def test_fk_check_never_joins_the_fact(spark):
     plan = _plan(checks.fact_orphans(w))
     # the fact is rolled up (Generate + partial aggregate) before any join
     assert "Generate inline" in plan and "partial_count" in plan
+
+
+def test_input_order_and_partitioning_change_nothing(spark):
+    from cabstar.plans.registry import FIXED_LOAD
+    from cabstar.plans.warehouse import Warehouse
+
+    base = warehouse(spark, SF_SMALL)
+    shuffled = Warehouse(raw_trips(spark, SF_SMALL).repartition(7, "vendorid")
+                         .sortWithinPartitions(F.rand(3)), FIXED_LOAD, zones=zone_lookup(spark, SF_SMALL))
+    cols = ["trip_id", "source_row_number", "total_amount", "tip_pct"]
+    assert sorted(base.fact.select(*cols).collect()) == sorted(shuffled.fact.select(*cols).collect())
+    assert sorted(base.summaries["payment"].collect()) == sorted(shuffled.summaries["payment"].collect())
