@@ -143,12 +143,19 @@ def build_warehouse(
     date_range: tuple[str, str] | None = None,
     row_number_partitions: int | None = None,
     timings: dict[str, float] | None = None,
+    scope_years: list[int] | None = None,
 ) -> Warehouse:
     """Load every layer to ``base_path/<table>`` and return a Warehouse over the files.
 
     Partitioned tables use dynamic overwrite: a run replaces only the months it holds.
     The audit table is appended; reusing a batch id is refused. ``timings`` (optional)
     receives the wall-clock seconds of each layer.
+
+    ``scope_years`` makes a period load: marts, fact and summaries are recomputed only
+    for those pickup years (partition pruning on the curated and fact tables) and only
+    their partitions are replaced; dimensions are rebuilt from the whole fact table, so
+    members seen in earlier loads stay. Raw files must not span scopes (the public
+    files are monthly).
     """
     spark = raw.sparkSession
     base = base_path.rstrip("/")
@@ -163,6 +170,9 @@ def build_warehouse(
     def path(name: str) -> str:
         return f"{base}/{name}"
 
+    def scoped(df: DataFrame) -> DataFrame:
+        return df.where(F.col("pickup_year").isin(*scope_years)) if scope_years else df
+
     def persist(name: str, df: DataFrame, rebalance: bool = True) -> DataFrame:
         write_table(df, path(name), TABLE_PARTITIONS[name] or None, rebalance=rebalance)
         return read_table(spark, path(name))
@@ -172,7 +182,8 @@ def build_warehouse(
     done["silver"] = persist("silver", lazy.silver)
     lap("cleanse")
 
-    staged = Warehouse(raw, info, zones, date_range, row_number_partitions, overrides=dict(done))
+    in_scope = {"silver": scoped(done["silver"])}
+    staged = Warehouse(raw, info, zones, date_range, row_number_partitions, overrides=in_scope)
     mart_rows = materialize(build_marts_combined(staged.silver), "marts")
     _write_all(spark, {MART_TABLES[n]: df for n, df in split_marts(mart_rows).items()}, path, done)
     lap("marts")
@@ -183,13 +194,13 @@ def build_warehouse(
     done["fact_trip"] = persist("fact_trip", staged.fact, rebalance=False)
     lap("fact")
     codes = materialize(D.fact_codes(done["fact_trip"]), "codes")
-    staged = Warehouse(raw, info, zones, date_range, row_number_partitions, overrides={**done, "_codes": codes})
+    staged = Warehouse(raw, info, zones, date_range, row_number_partitions, overrides={**done, **in_scope, "_codes": codes})
 
     _refuse_duplicate_batch(spark, path("dim_ingestion_batch"), info.batch_id)
     _write_all(spark, {name: df.coalesce(1) for name, df in staged.dims.items()}, path, done)
     lap("dimensions")
 
-    summary_rows = materialize(build_summaries_combined(done["fact_trip"]), "summaries")
+    summary_rows = materialize(build_summaries_combined(scoped(done["fact_trip"])), "summaries")
     _write_all(spark, {SUMMARY_TABLES[n]: df for n, df in split_summaries(summary_rows).items()}, path, done)
     lap("summaries")
 

@@ -113,3 +113,22 @@ def test_input_order_and_partitioning_change_nothing(spark):
     cols = ["trip_id", "source_row_number", "total_amount", "tip_pct"]
     assert sorted(base.fact.select(*cols).collect()) == sorted(shuffled.fact.select(*cols).collect())
     assert sorted(base.summaries["payment"].collect()) == sorted(shuffled.summaries["payment"].collect())
+
+
+def test_period_loads_equal_one_full_load(spark, tmp_path_factory):
+    raw = raw_trips(spark, SF_SMALL)
+    zones = zone_lookup(spark, SF_SMALL)
+    full = build_warehouse(raw, str(tmp_path_factory.mktemp("full")), LoadInfo(batch_id="7"), zones=zones)
+    base = str(tmp_path_factory.mktemp("periods"))
+    early = [1995, 1996, 1997]
+    late = [1998, 1999, 2000, 2001, 2002]
+    year = F.year("tpep_pickup_datetime")
+    build_warehouse(raw.where(year.isin(early)), base, LoadInfo(batch_id="7"), zones=zones, scope_years=early)
+    w = build_warehouse(raw.where(year.isin(late)), base, LoadInfo(batch_id="8"), zones=zones, scope_years=late)
+    drop_batch = ["trip_id", "ingestion_batch_key"]
+    assert sorted(w.fact.drop(*drop_batch).collect(), key=str) == sorted(full.fact.drop(*drop_batch).collect(), key=str)
+    for name in ["daily", "location"]:
+        assert sorted(w.summaries[name].collect(), key=str) == sorted(full.summaries[name].collect(), key=str)
+    assert sorted(w.marts["daily_revenue"].collect(), key=str) == sorted(full.marts["daily_revenue"].collect(), key=str)
+    assert all(r["missing_rows"] == 0 for r in checks.fact_orphans(w).collect())
+    assert w.dims["dim_ingestion_batch"].count() == 2
