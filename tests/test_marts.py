@@ -52,3 +52,13 @@ def test_money_is_exact_and_rounds_half_up(spark):
     assert out["total_revenue"] == 0.3
     avg = build_mart(spark.createDataFrame([rows[2]], schema), "daily_revenue").first()["avg_revenue_per_trip"]
     assert avg == 1.01
+
+
+def test_four_marts_read_the_curated_table_once(spark, scratch):
+    from cabstar.operators.marts import build_marts_combined
+
+    _curated(spark).write.parquet(f"{scratch}/silver")
+    combined = build_marts_combined(spark.read.parquet(f"{scratch}/silver"))
+    plan = combined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Expand" in plan
+    assert combined.count() == 2 + 2 + 2 + 2  # 2 days, 2 vendors, 2 payment types, 2 passenger counts
