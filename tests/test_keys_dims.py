@@ -96,3 +96,14 @@ def test_static_dims(spark):
     assert ref.dim_trip_flags(spark).count() == 3
     q = ref.dim_trip_quality(spark)
     assert q.count() == 5 and q.where("trip_quality_key = -1").count() == 1
+
+
+def test_wall_clock_columns_ignore_the_session_zone(spark):
+    df = spark.createDataFrame([(datetime(2025, 3, 9, 1, 30), datetime(2025, 3, 9, 3, 30))],
+                               "p timestamp_ntz, d timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # DST starts 2025-03-09 02:00
+    try:
+        got = df.select(K.duration_minutes("p", "d"), K.time_key("d"), K.date_key(F.to_date("d"))).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert tuple(got) == (120.0, 33000, 20250309)
