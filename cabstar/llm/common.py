@@ -71,3 +71,35 @@ def lower_ascii(text) -> F.Column:
 
 #: Runs of Unicode White_Space (what ``\s`` means to the tokenizers library).
 WHITE_SPACE = re.compile("[\t-\r \u0085   -     　]+")
+
+
+class Memo(dict):
+    """``make(key)`` kept for short keys; emptied when ``limit`` keys are held."""
+
+    def __init__(self, make: Callable, limit: int = 300_000, longest: int = 64):
+        super().__init__()
+        self.make, self.limit, self.longest = make, limit, longest
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.limit:
+                self.clear()
+            self[key] = value
+        return value
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in the vocabularies of byte-level tokenizers.
+
+    Printable bytes stand for themselves; the others follow from U+0100 in byte order.
+    """
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
+def special_pattern(tokenizer) -> re.Pattern | None:
+    """Matches the special tokens, which the library cuts out of a text before all else."""
+    names = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+    return re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None

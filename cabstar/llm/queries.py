@@ -2,11 +2,54 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstar.llm import decontaminate
+from cabstar.llm import bpe, decontaminate, licences, simple8b, urls, wordpiece
 from cabstar.llm.common import table
+from cabstar.session import checkpoint_dir
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan_licences(table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("matches", lambda m: m["base"])
+    start = F.transform(base, lambda m: m["start"].cast("long"))
+    joined = lambda ms: F.array_join(F.array_sort(F.array_distinct(F.transform(ms, lambda m: m["label"]))), ",")
+    score = F.array_max(F.transform("matches", lambda m: m["score"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(start).alias("first_word"),
+        F.array_max(start).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.col("matches")).alias("labels"),
+        F.coalesce(score, F.lit(0.0)).alias("score"),
+    )
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.encode_texts(docs, public_tokenizers.path("word_bpe_49k.json"), digests=True)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return wordpiece.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    simple8b.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return simple8b.read_tokens(spark, path, ids=False)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,4 +65,11 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op9_decontaminate": op9_decontaminate}
+QUERIES = {
+    "op3_url_filter": op3_url_filter,
+    "op5_licences": op5_licences,
+    "op6_bpe": op6_bpe,
+    "op7_token_counts": op7_token_counts,
+    "op8_token_files": op8_token_files,
+    "op9_decontaminate": op9_decontaminate,
+}
