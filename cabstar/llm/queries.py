@@ -8,15 +8,43 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabstar.llm import bpe, decontaminate, licences, simple8b, urls, wordpiece
+from cabstar.llm import (
+    ann,
+    bpe,
+    decontaminate,
+    jaccard,
+    language,
+    licences,
+    lines,
+    simple8b,
+    urls,
+    wordpiece,
+)
 from cabstar.llm.common import table
 from cabstar.session import checkpoint_dir
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return ann.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_left", F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = language.fit(language.trainable(docs))
+    found = language.identify(docs, model)
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan_licences(table(spark, sf_dir, "documents", "doc_id", "text"))
     base = F.filter("matches", lambda m: m["base"])
@@ -65,11 +93,21 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = jaccard.similar_components(docs, size=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
+    "op1_nearest": op1_nearest,
+    "op2_line_dedup": op2_line_dedup,
     "op3_url_filter": op3_url_filter,
+    "op4_language": op4_language,
     "op5_licences": op5_licences,
     "op6_bpe": op6_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
+    "op10_jaccard": op10_jaccard,
 }
