@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,10 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_WORD_BYTES).split() if text else []
 
 
+#: Rows of a batch that are Python objects at a time.
+_ROWS = 1000
+
+
 def map_rows(
     df: DataFrame, rows: Callable[[], Callable[..., tuple]], schema: str, inputs: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -52,8 +58,9 @@ def map_rows(
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = rows()
-        for batch in it:
-            if batch.num_rows:
+        for whole in it:
+            for first in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(first, _ROWS)
                 kept, given = batch.columns[: len(keep)], batch.columns[len(keep) :]
                 out = zip(*map(row, *(c.to_pylist() for c in given)), strict=True)
                 made = [pa.array(c, f.type) for c, f in zip(out, arrow, strict=True)]
@@ -74,9 +81,13 @@ WHITE_SPACE = re.compile("[\t-\r \u0085   -     　]+")
 
 
 class Memo(dict):
-    """``make(key)`` kept for short keys; emptied when ``limit`` keys are held."""
+    """``make(key)`` kept for short keys, ``limit`` at most.
+
+    When it is full the younger half goes: common keys are met early, so the older half
+    holds most of them.
+    """
 
-    def __init__(self, make: Callable, limit: int = 300_000, longest: int = 64):
+    def __init__(self, make: Callable, limit: int = 200_000, longest: int = 64):
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
 
@@ -84,10 +95,18 @@ class Memo(dict):
         value = self.make(key)
         if len(key) <= self.longest:
             if len(self) >= self.limit:
-                self.clear()
+                for young in list(islice(self, self.limit // 2, None)):
+                    del self[young]
             self[key] = value
         return value
 
+    def all(self, keys: list) -> list:
+        """The values of many keys, faster than one by one."""
+        values = list(map(self.get, keys))
+        if None in values:
+            values = [self[k] if v is None else v for k, v in zip(keys, values, strict=True)]
+        return values
+
 
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in the vocabularies of byte-level tokenizers.
@@ -99,6 +118,27 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+#: Classes of Latin-1 characters: 0 others, 1 space, 2 other white space, 3 letters, 4 digits, 5 signs.
+OTHER, SPACE, BREAK, LETTER, DIGIT, SIGN = range(6)
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[0x21:0x7F], _CLASS[0x20], _CLASS[9:14], _CLASS[0x30:0x3A] = SIGN, SPACE, BREAK, DIGIT
+_CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = _CLASS[0xC0:] = LETTER
+_CLASS[[0xD7, 0xF7]] = OTHER
+
+
+def latin_classes(text: str) -> np.ndarray | None:
+    """The class of each character of a text of plain Latin-1 without apostrophes, else None.
+
+    For these characters the split patterns of the tokenizers cut where the class changes.
+    """
+    try:
+        raw = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    classes = _CLASS[np.frombuffer(raw, np.uint8)]
+    return None if b"'" in raw or not classes.all() else classes
+
+
 def special_pattern(tokenizer) -> re.Pattern | None:
     """Matches the special tokens, which the library cuts out of a text before all else."""
     names = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)

@@ -117,7 +117,7 @@ def test_simple8b_round_trip(seed):
     assert len(simple8b.pack(np.zeros(24_000, np.uint32))) < 2000
 
 
-def test_chunked_encoder_equals_the_library(spark):
+def test_word_encoder_equals_the_library(spark):
     library, own = Tokenizer.from_file(BYTES), simple8b.encoder(BYTES)
     for text in ODD + random_texts(2000) + documents(spark):
         want = library.encode(text or "", add_special_tokens=False).ids
