@@ -194,7 +194,7 @@ def search(
     key = ["dim", "shard", "block"]
 
     def run(shard: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"node": [], "score": [], "id": []})
+        none = pd.DataFrame({"node": pd.Series(dtype="int64"), "score": pd.Series(dtype=object), "id": pd.Series(dtype=object)})
         if not len(shard) or not len(asked):
             return none
         shard = shard.sort_values("place", ignore_index=True)
