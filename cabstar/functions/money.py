@@ -1,10 +1,14 @@
-"""Reproducible money arithmetic.
+"""Reproducible sums of money and distances.
 
 A SUM over DOUBLE depends on the order rows arrive in, so the same data can give a
-different last bit (and, after rounding, a different cent) from run to run. Money and
-distance are therefore summed as DECIMAL cents, which is exact and order-free; the
-exact total is converted to DOUBLE once. Averages are that exact total divided by the
-count, and rounding is half-up on the value's shortest decimal form (Spark ``round``).
+different last bit (and, after rounding, a different cent) from run to run. Values are
+therefore summed as DECIMAL with ten decimals, which keeps every digit of the feed (it has
+two; three-decimal distances and the like are kept as well) and is order-free; the total
+is converted to DOUBLE once. Averages are that total divided by the count, and rounding is
+half-up on the value's shortest decimal form (Spark ``round``).
+
+NaN, infinities and magnitudes of 1e18 or more don't fit a DECIMAL. They are summed as
+DOUBLE beside it, and the two are added: a NaN makes the sum NaN, as it does in a plain sum.
 """
 
 from __future__ import annotations
@@ -13,22 +17,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed contract: money and distances carry two decimals (cents, hundredths of a mile).
-CENTS = T.DecimalType(18, 2)
+EXACT = T.DecimalType(28, 10)
+_LIMIT = 1e18
 
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def exact_sum_dec(col: str | Column) -> Column:
-    """Order-independent SUM as DECIMAL(28, 2)."""
-    return F.sum(_c(col).cast(CENTS))
+def exact_parts(col: str | Column) -> tuple[Column, Column]:
+    """Two aggregates: the DECIMAL sum of common values and the DOUBLE sum of all others."""
+    x = _c(col)
+    common = F.abs(x) < _LIMIT  # false for NaN, which Spark orders above all numbers
+    return F.sum(F.when(common, x).try_cast(EXACT)), F.sum(F.when(~common, x))
+
+
+def exact_total(exact: Column, others: Column) -> Column:
+    """The DOUBLE total of (sums of) the two parts; NULL if there was no value."""
+    total = exact.cast("double")
+    return F.when(others.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + others)
 
 
 def exact_sum(col: str | Column) -> Column:
     """Order-independent SUM returned as DOUBLE."""
-    return exact_sum_dec(col).cast("double")
+    return exact_total(*exact_parts(col))
 
 
 def exact_avg(col: str | Column) -> Column:

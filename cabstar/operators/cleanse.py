@@ -82,8 +82,14 @@ def align_schema(df: DataFrame) -> DataFrame:
 
 
 def cast_to_contract(df: DataFrame) -> DataFrame:
-    """One projection: contract columns cast (and renamed to lower case), others kept as they are."""
+    """One projection: contract columns cast (and renamed to lower case), others kept as they are.
+
+    A feed without one of the required columns (all but the optional fees) is refused.
+    """
     contract = dict(TRIP_CONTRACT)
+    present = {name.lower() for name in df.columns}
+    if missing := [c for c in contract if c not in present and c not in OPTIONAL_FEES]:
+        raise ValueError(f"the raw trips lack required columns: {', '.join(missing)}")
     out = []
     for name in df.columns:
         lowered = name.lower()

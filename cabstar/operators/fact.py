@@ -17,7 +17,7 @@ from cabstar.functions.keys import (
     time_key,
 )
 from cabstar.operators.cleanse import Rule, align_schema, all_of
-from cabstar.operators.lineage import number_within
+from cabstar.operators.lineage import BUCKET_SECONDS, number_within, time_bucket
 
 # Fixed values of the warehouse contract.
 ID_COLUMNS = ["vendorid", "ratecodeid", "payment_type", "pulocationid", "dolocationid", "passenger_count"]
@@ -66,7 +66,7 @@ def normalize_trips(curated: DataFrame) -> DataFrame:
     cleansing) is kept; only when absent is the scanned file stamped.
     """
     df = align_schema(curated)
-    lineage = F.col("source_file_name") if "source_file_name" in df.columns else F.input_file_name()
+    lineage = F.col("source_file_name") if "source_file_name" in df.columns else F.col("_metadata.file_path")
     pickup = lenient_cast(df, "tpep_pickup_datetime", "timestamp_ntz")
     dropoff = lenient_cast(df, "tpep_dropoff_datetime", "timestamp_ntz")
     flag = lenient_cast(df, "store_and_fwd_flag", "string") if "store_and_fwd_flag" in df.columns else F.lit(None)
@@ -100,11 +100,15 @@ def validate_batch_id(batch_id: str) -> int:
     return int(batch_id)
 
 
-def build_fact_trip(curated: DataFrame, batch_id: str, num_partitions: int | None = None) -> DataFrame:
+def build_fact_trip(curated: DataFrame, batch_id: str, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     batch_key = validate_batch_id(batch_id)
     valid = valid_trips(normalize_trips(curated))
     numbered = number_within(
-        valid, "source_file_name", LINEAGE_ORDER + LINEAGE_TIEBREAK, "source_row_number", num_partitions
+        valid,
+        "source_file_name",
+        LINEAGE_ORDER + LINEAGE_TIEBREAK,
+        time_bucket("pickup_ts", bucket_seconds),
+        "source_row_number",
     )
     c = F.col
     trip_id = surrogate_id(

@@ -1,65 +1,50 @@
 """Row numbers within a lineage group (e.g. per source file), without a single-task sort.
 
 ``row_number() OVER (PARTITION BY file ORDER BY ...)`` sends each file to one task: a
-file holding a third of the data is sorted by one core. Here the rows are instead
-range-partitioned on (file, order keys) across all tasks and sorted within each
-partition. A row's number is then
+file holding a third of the data is sorted by one core. Here rows are numbered within
+(file, bucket), where a bucket is a range of the first sort key (an hour of pickup
+times), and the rows of the file's earlier buckets are added:
 
-    (rows of the same file in earlier partitions) + (its position among the file's
-    rows in its own partition) + 1
+    row number = rows of the same file in earlier buckets + number within the bucket
 
-The first term comes from a per-(file, partition) count table whose size is bounded by
-``partitions + files`` rows (range partitions are contiguous in (file, keys) order, so a
-partition touches a contiguous run of files); it is broadcast.
-
-The counts and the numbering must see the *same* range partitions: two separate range
-exchanges would each sample their own bounds. The indexed frame (rows with their
-partition id and position) is therefore written once to the shared checkpoint folder
-and both the counts and the numbering read that table. This cuts the lineage: a lost
-executor never re-runs the range shuffle with different bounds, and nothing depends on
-a cache that could be evicted.
+The counts come from a small (file, bucket) aggregate, joined on the same two keys the
+window is partitioned by, so the rows are shuffled once. Nothing is written or run while
+the plan is built, and the numbers don't depend on how rows are dealt to tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cabstar.sources.sinks import materialize
+#: Width of a bucket of pickup times. Make it smaller if an hour of one file is hot.
+BUCKET_SECONDS = 3600
+
 
-_PID, _MID, _FIRST, _OFFSET = "_lin_pid", "_lin_mid", "_lin_first", "_lin_offset"
+def time_bucket(ts: str | Column, seconds: int = BUCKET_SECONDS) -> Column:
+    """Bucket number of a timestamp; grows with it."""
+    return F.floor(F.unix_timestamp(ts) / seconds)
 
 
 def number_within(
-    df: DataFrame,
-    group_col: str,
-    order_cols: list[str],
-    out_col: str = "row_number",
-    num_partitions: int | None = None,
+    df: DataFrame, group_col: str, order_cols: list[str], bucket: Column, out_col: str = "row_number"
 ) -> DataFrame:
     """Append ``out_col`` (INT) = row_number() over (partition by group_col order by order_cols).
 
-    Ordering is ascending with NULLs first, as in Spark's window default.
+    Ordering is ascending with NULLs first, as in Spark's window default. ``bucket`` must be
+    NULL where the first order column is, and never fall where that column rises.
     """
-    # The session's shuffle-partition setting is sized for the cluster and data; plan
-    # size estimates are not used (without CBO they multiply across joins).
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(group_col).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order_cols]]
-    indexed = materialize(
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumns({_PID: F.spark_partition_id(), _MID: F.monotonically_increasing_id()}),
-        "lineage",
-    )
-
-    before = Window.partitionBy("_lin_group").orderBy("_lin_pid2").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        indexed.groupBy(F.col(group_col).alias("_lin_group"), F.col(_PID).alias("_lin_pid2"))
-        .agg(F.min(_MID).alias(_FIRST), F.count(F.lit(1)).alias("_lin_n"))
-        .withColumn(_OFFSET, F.coalesce(F.sum("_lin_n").over(before), F.lit(0)))
-        .drop("_lin_n")
+    keyed = df.withColumns(
+        {
+            # without NULLs, so that window and join share one hash partitioning
+            "_group": F.coalesce(F.concat(F.lit("="), F.col(group_col).cast("string")), F.lit("")),
+            "_bucket": F.coalesce(bucket.cast("bigint"), F.lit(-(1 << 62))),
+        }
     )
-    cond = (F.col(group_col).eqNullSafe(F.col("_lin_group"))) & (F.col(_PID) == F.col("_lin_pid2"))
-    numbered = indexed.join(F.broadcast(offsets), cond, "inner")
-    rn = (F.col(_OFFSET) + F.col(_MID) - F.col(_FIRST) + 1).cast("int")
-    return numbered.withColumn(out_col, rn).drop(_PID, _MID, _FIRST, _OFFSET, "_lin_group", "_lin_pid2")
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    numbered = keyed.withColumn("_n", F.row_number().over(Window.partitionBy("_group", "_bucket").orderBy(*order)))
+    earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy("_group", "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    joined = numbered.join(counts, ["_group", "_bucket"])
+    return joined.withColumn(out_col, (F.col("_before") + F.col("_n")).cast("int")).select(*df.columns, out_col)

@@ -1,8 +1,8 @@
 """Curated -> four revenue marts (daily, vendor, payment type, passenger count).
 
-All four come from one scan: a GROUPING SETS aggregate computes the measures of every
-mart in a single pass (partial aggregation map-side, then one small shuffle), and each
-mart is a filter on ``grouping_id``. A single mart is a plain ``groupBy``.
+A single mart is a plain ``groupBy``. A load that writes all four computes them from one
+scan: a GROUPING SETS aggregate expands each row to one per mart and aggregates map-side;
+its result is written once and each mart is a filter on ``grouping_id`` over that.
 """
 
 from __future__ import annotations

@@ -1,7 +1,7 @@
 """Atomic fact -> four daily summary facts (daily, vendor, payment type, route).
 
 Same one-pass GROUPING SETS shape as the marts: the fact is scanned once for all four.
-Sums are exact (DECIMAL cents), averages are exact total / count, durations are
+Sums are exact (DECIMAL), averages are exact total / count, durations are
 averaged from whole seconds, so every value is independent of row order.
 """
 

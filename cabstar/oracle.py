@@ -4,7 +4,7 @@ Used as the correctness oracle at small scale: the same trip expressions, the sa
 fixed reference values and the same rules, written as plain SQL over the raw tables.
 
 Exactness conventions shared with the Spark side:
-  * money sums are DECIMAL(18,2) sums; DECIMAL -> DOUBLE goes through VARCHAR, which
+  * money sums are DECIMAL(28,10) sums of the values' shortest text; DECIMAL -> DOUBLE goes through VARCHAR, which
     DuckDB parses with correct rounding (a direct cast may round twice);
   * per-trip ratios are summed as DECIMAL(38,18) converted via their shortest text,
     which is how Spark converts a DOUBLE to DECIMAL;
@@ -13,8 +13,8 @@ Exactness conventions shared with the Spark side:
 
 from __future__ import annotations
 
-from cabstar.operators.dims import CODE_DIMS
-from cabstar.sources import reference as ref
+import re
+
 from cabstar.sources.trips import DUPLICATE_RULE, SOURCE_FILE_DUCKDB, TRIP_COLUMNS
 
 BATCH_ID = "20250201000000"
@@ -23,7 +23,7 @@ LOAD_COMPLETED = "2025-02-01 00:30:00"
 
 
 def xsum(x: str) -> str:
-    return f"CAST(CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS VARCHAR) AS DOUBLE)"
+    return f"CAST(CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(28,10))) AS VARCHAR) AS DOUBLE)"
 
 
 def ratio_sum(x: str) -> str:
@@ -49,6 +49,28 @@ def _values(rows, names: list[str]) -> str:
     return f"(VALUES {body}) AS v({', '.join(names)})"
 
 
+# Fixed values of the contract, written out here again so that a wrong label in the code
+# under test shows up as a difference.
+_CODE_DIMS = {
+    # kind: key column, code column, label column, label of unknown codes, extra columns, labels
+    "vendor": ("vendor_key", "vendorid", "vendor_name", "Unknown Vendor", {"is_current": True},
+               [(1, "Creative Mobile Technologies"), (2, "VeriFone Inc"), (6, "Myle Technologies"), (7, "Helix")]),
+    "payment_type": ("payment_type_key", "payment_type", "payment_type_description", "Unknown Payment Type", {},
+                     [(1, "Credit card"), (2, "Cash"), (3, "No charge"), (4, "Dispute"), (5, "Unknown"),
+                      (6, "Voided trip")]),
+    "rate_code": ("rate_code_key", "ratecodeid", "rate_code_description", "Unknown Rate Code", {},
+                  [(1, "Standard rate"), (2, "JFK"), (3, "Newark"), (4, "Nassau or Westchester"),
+                   (5, "Negotiated fare"), (6, "Group ride")]),
+}
+_FLAGS = [(-1, "Unknown", "Unknown"), (1, "N", "Not stored before forwarding"), (2, "Y", "Stored before forwarding")]
+_QUALITY = [
+    (-1, "UNKNOWN", "Unknown quality state", False, False, False),
+    (1, "VALID_STANDARD", "Valid standard trip", False, False, False),
+    (2, "ZERO_DISTANCE", "Valid trip with zero distance", True, False, False),
+    (3, "LONG_DURATION", "Valid trip longer than four hours", False, True, False),
+    (4, "HIGH_AMOUNT", "Valid trip with total amount over 500", False, False, True),
+]
+
 _TRIP_SELECT = ",\n    ".join(f"{expr} AS {name}" for name, expr in TRIP_COLUMNS)
 _MEASURES = ["trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
              "improvement_surcharge", "total_amount", "congestion_surcharge", "airport_fee", "cbd_congestion_fee"]
@@ -68,15 +90,15 @@ def _time_key(t: str) -> str:
 
 
 def _code_dim(kind: str) -> str:
-    spec = CODE_DIMS[kind]
-    extra_cols = "".join(f", {_lit(v)} AS {k}" for k, v in spec.extra.items())
-    extra_unknown = "".join(f", {_lit(v)}" for v in spec.extra.values())
+    key, code, label, unknown, extra, names = _CODE_DIMS[kind]
+    extra_cols = "".join(f", {_lit(v)} AS {k}" for k, v in extra.items())
+    extra_unknown = "".join(f", {_lit(v)}" for v in extra.values())
     return f"""
-    SELECT c.code AS {spec.key}, c.code AS {spec.code},
-           COALESCE(v.label, '{spec.unknown_label} ' || CAST(c.code AS VARCHAR)) AS {spec.label}{extra_cols}
-    FROM codes c LEFT JOIN {_values(spec.names, ['code', 'label'])} ON c.code = v.code
+    SELECT c.code AS {key}, c.code AS {code},
+           COALESCE(v.label, '{unknown} ' || CAST(c.code AS VARCHAR)) AS {label}{extra_cols}
+    FROM codes c LEFT JOIN {_values(names, ['code', 'label'])} ON c.code = v.code
     WHERE c.kind = '{kind}' AND c.code <> -1
-    UNION ALL SELECT -1, -1, '{spec.unknown_label}'{extra_unknown}"""
+    UNION ALL SELECT -1, -1, '{unknown}'{extra_unknown}"""
 
 
 CTES: dict[str, tuple[str, list[str]]] = {
@@ -177,7 +199,7 @@ CTES: dict[str, tuple[str, list[str]]] = {
     COALESCE(z.service_zone, 'Unknown') AS service_zone
   FROM codes c LEFT JOIN zones z ON c.code = z.location_id
   WHERE c.kind = 'location' AND c.code <> -1
-  UNION ALL SELECT -1, -1, {', '.join(_lit(v) for v in ref.UNKNOWN_LOCATION)}""",
+  UNION ALL SELECT -1, -1, 'Unknown', 'Unknown Location', 'Unknown'""",
         ["codes", "zones"],
     ),
     "dim_passenger_count": (
@@ -218,11 +240,11 @@ CTES: dict[str, tuple[str, list[str]]] = {
         [],
     ),
     "dim_trip_flags": (
-        "SELECT * FROM " + _values(ref.TRIP_FLAG_ROWS, ["trip_flags_key", "store_and_fwd_flag", "store_and_fwd_description"]),
+        "SELECT * FROM " + _values(_FLAGS, ["trip_flags_key", "store_and_fwd_flag", "store_and_fwd_description"]),
         [],
     ),
     "dim_trip_quality": (
-        "SELECT * FROM " + _values(ref.TRIP_QUALITY_ROWS, ["trip_quality_key", "quality_code", "quality_description",
+        "SELECT * FROM " + _values(_QUALITY, ["trip_quality_key", "quality_code", "quality_description",
                                                            "is_zero_distance", "is_long_duration", "is_high_amount"]),
         [],
     ),
@@ -326,6 +348,39 @@ def with_ctes(final_select: str, needs: list[str]) -> str:
     return f"WITH {body}\n{final_select}"
 
 
+def uncleansed(sql: str) -> str:
+    """The same query with the curated trips replaced by the raw ones."""
+    raw = """SELECT *, CAST(NULL AS DOUBLE) AS congestion_surcharge, CAST(NULL AS DOUBLE) AS airport_fee,
+    CAST(NULL AS DOUBLE) AS cbd_congestion_fee FROM bronze"""
+    assert CTES["silver"][0] in sql
+    return sql.replace(CTES["silver"][0], raw)
+
+
+#: The injected defects, written out independently of the code under test.
+DEFECTS = {
+    "fact_trip": """SELECT * REPLACE (
+      CASE WHEN source_row_number % 41 = 0 THEN NULL ELSE vendor_key END AS vendor_key,
+      CASE WHEN source_row_number % 47 = 0 THEN NULL ELSE rate_code_key END AS rate_code_key,
+      CASE WHEN source_row_number % 43 = 0 THEN 99 ELSE payment_type_key END AS payment_type_key,
+      CASE WHEN source_row_number % 59 = 0 THEN 99 ELSE pickup_date_key END AS pickup_date_key)
+    FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE source_row_number % 53 = 0)""",
+    "dim_date": "SELECT * FROM dim_date WHERE calendar_day <> 13",
+    "dim_vendor": "SELECT * FROM dim_vendor UNION ALL SELECT * FROM dim_vendor WHERE vendor_key = 1",
+    "dim_location": "SELECT * FROM dim_location WHERE location_key <> -1",
+}
+
+
+def with_defects(sql: str) -> str:
+    """The same query over the defective tables."""
+    head, final = sql.rsplit("\n)\n", 1)
+    final = re.sub(r"\b(FROM|JOIN) fact\b", r"\1 fact_trip", final)
+    used = [t for t in DEFECTS if re.search(rf"\b(FROM|JOIN) {t}\b", final)]
+    for t in used:
+        final = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 bad_{t}", final)
+    bad = ",\n".join(f"bad_{t} AS (\n  {DEFECTS[t]}\n)" for t in used)
+    return f"{head}\n),\n{bad}\n{final}"
+
+
 def table_sql(name: str) -> str:
     return with_ctes(f"SELECT * FROM {name}", [name])
 

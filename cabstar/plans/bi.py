@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cabstar.plans.star import bounded_broadcast, dim_join, measure, reaggregate, rollup
+from cabstar.plans.star import dim_join, measure, reaggregate, rollup
 from cabstar.plans.warehouse import Warehouse
 
 
@@ -69,10 +69,13 @@ def payment_share(w: Warehouse) -> DataFrame:
 
 # B5 / B6 ------------------------------------------------------------------------------
 def weekday_hour_heatmap(w: Warehouse) -> DataFrame:
-    rolled = rollup(w.fact, ["pickup_date_key", "pickup_time_key"])
+    # hours, not seconds of the day: a roll-up on the time key would be as large as the fact
+    hour = F.floor(F.col("pickup_time_key") / 10000).cast("int").alias("pickup_hour")
+    rolled = rollup(w.fact, ["pickup_date_key", hour])
     rolled = dim_join(rolled, w.dims["dim_date"], "pickup_date_key", "date_key",
                       {"day_of_week": "day_of_week", "day_of_week_number": "day_of_week_number"})
-    rolled = dim_join(rolled, w.dims["dim_time"], "pickup_time_key", "time_key", {"hour": "hour"})
+    hours = w.dims["dim_time"].groupBy("hour").agg(F.first("hour").alias("known"))
+    rolled = dim_join(rolled, hours, "pickup_hour", "hour", {"known": "hour"})
     attrs = ["day_of_week", "day_of_week_number", "hour"]
     return reaggregate(rolled, attrs).select(*attrs, measure("total_trips").alias("total_trips"))
 
@@ -129,11 +132,14 @@ class FilterSet:
     dropoff_zones: tuple[str, ...] | None = None
     passenger_groups: tuple[str, ...] | None = None
     dayparts: tuple[str, ...] | None = None
+    months: tuple[str, ...] | None = None  # year-month labels, such as 1996-02
+    weekdays: tuple[str, ...] | None = None
+    weekend: bool | None = None
 
 
 def filtered_fact(w: Warehouse, f: FilterSet) -> DataFrame:
     """Fact rows passing every active filter: each filter becomes a key set of its (small)
-    dimension, semi-joined with the fact (broadcast after a size check)."""
+    dimension, semi-joined with the fact."""
     d = w.dims
     c = F.col
     rules = []
@@ -144,6 +150,10 @@ def filtered_fact(w: Warehouse, f: FilterSet) -> DataFrame:
         if f.date_to:
             cond = cond & (c("calendar_date") <= F.to_date(F.lit(f.date_to)))
         rules.append(("pickup_date_key", d["dim_date"].where(cond).select(c("date_key").alias("_k"))))
+    dates = [(f.months, "year_month"), (f.weekdays, "day_of_week"), (None if f.weekend is None else (f.weekend,), "is_weekend")]
+    for values, attr in dates:
+        if values is not None:
+            rules.append(("pickup_date_key", d["dim_date"].where(c(attr).isin(*values)).select(c("date_key").alias("_k"))))
     picks = [
         (f.vendors, "vendor_key", "dim_vendor", "vendor_key", "vendor_name"),
         (f.payment_types, "payment_type_key", "dim_payment_type", "payment_type_key", "payment_type_description"),
@@ -158,7 +168,6 @@ def filtered_fact(w: Warehouse, f: FilterSet) -> DataFrame:
             rules.append((fk, d[dim].where(c(attr).isin(*values)).select(c(key).alias("_k"))))
     out = w.fact
     for fk, keys in rules:
-        keys = bounded_broadcast(keys.distinct())
         out = out.join(keys, out[fk] == keys["_k"], "left_semi")
     return out
 
@@ -188,4 +197,5 @@ def rate_code_revenue(w: Warehouse) -> DataFrame:
 
 def passenger_groups(w: Warehouse) -> DataFrame:
     return _by(w, "passenger_count_key", "dim_passenger_count", "passenger_count_key", ["passenger_group"],
-               ["total_trips", "total_passengers", "avg_revenue", "avg_trip_distance"])
+               ["total_trips", "total_passengers", "known_passengers", "avg_revenue", "avg_trip_distance", "total_tips",
+                "tip_pct"])

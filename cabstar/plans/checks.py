@@ -5,8 +5,7 @@ Scale notes:
   * foreign-key checks never join the fact with a dimension: the fact's keys are rolled
     up once into (relationship, key, rows) — one scan for all relationships, combined
     map-side — and only those small key sets meet the dimension keys;
-  * duplicate ids are found by first grouping 8-byte hashes of the ids; only hash
-    collisions (the candidates) go through the exact check.
+  * duplicate ids come from one group-by on the id: one scan, one shuffle.
 """
 
 from __future__ import annotations
@@ -116,6 +115,22 @@ def reconcile_rows(w: Warehouse) -> DataFrame:
     )
 
 
+def reconcile_coalesced(w: Warehouse) -> DataFrame:
+    """Rows and revenue as the star job counts them: absent distances and totals are 0.0."""
+    c = F.col
+    zero = lambda name: F.coalesce(c(name), F.lit(0.0))
+    ordered = c("tpep_dropoff_datetime") >= c("tpep_pickup_datetime")
+    kept = w.silver.where(ordered & (zero("trip_distance") >= 0) & (zero("total_amount") >= 0))
+    kept = kept.agg(F.struct(F.count(F.lit(1)).alias("n"), F.round(exact_sum(zero("total_amount")), 2).alias("r")).alias("k"))
+    k = kept.scalar()
+    fact = w.fact.agg(F.count(F.lit(1)).alias("fact_rows"), F.round(exact_sum("total_amount"), 2).alias("fact_total_revenue"))
+    return fact.select(
+        k["n"].alias("valid_silver_rows"), "fact_rows", (F.col("fact_rows") - k["n"]).alias("row_difference"),
+        k["r"].alias("silver_total_revenue"), "fact_total_revenue",
+        F.round(F.col("fact_total_revenue") - k["r"], 2).alias("revenue_difference"),
+    )
+
+
 def reconcile_revenue(w: Warehouse) -> DataFrame:
     silver_total = w.silver.where(_silver_valid(w.silver)).agg(F.round(exact_sum("total_amount"), 2)).scalar()
     return w.fact.agg(F.round(exact_sum("total_amount"), 2).alias("fact_total_revenue")).select(
@@ -142,11 +157,8 @@ def reconcile_summaries(w: Warehouse) -> DataFrame:
 # -- V5 ---------------------------------------------------------------------------------
 def duplicate_ids(w: Warehouse, top: int = 20) -> DataFrame:
     """Top ``top`` duplicated trip ids (the limit is the report's size)."""
-    hashed = w.fact.select(F.xxhash64("trip_id").alias("_h"))
-    candidates = hashed.groupBy("_h").count().where(F.col("count") > 1).select("_h")
-    suspects = w.fact.select("trip_id").join(candidates, F.xxhash64("trip_id") == F.col("_h"), "left_semi")
     return (
-        suspects.groupBy("trip_id")
+        w.fact.groupBy("trip_id")
         .agg(F.count(F.lit(1)).alias("duplicate_count"))
         .where(F.col("duplicate_count") > 1)
         .orderBy(F.col("duplicate_count").desc(), F.col("trip_id"))

@@ -2,16 +2,50 @@
 
 from __future__ import annotations
 
-from cabstar.oracle import rnd, table_sql, with_ctes, xsum
-from cabstar.plans.checks import (
-    DATE_JOINS,
-    DIMENSION_KEYS,
-    FACT_FOREIGN_KEYS,
-    PRIMARY_KEYS,
-    STAR_PARTITIONED,
-    SUMMARY_FOREIGN_KEYS,
-)
-from cabstar.plans.warehouse import SUMMARY_TABLES, TABLE_PARTITIONS
+from cabstar.oracle import rnd, table_sql, uncleansed, with_ctes, with_defects, xsum
+# The star's relationships and partitions, written out here again so that a
+# relationship dropped from the code under test shows up as a difference.
+_DIM_OF = {
+    "date_key": "dim_date", "time_key": "dim_time", "vendor_key": "dim_vendor", "payment_type_key": "dim_payment_type",
+    "rate_code_key": "dim_rate_code", "location_key": "dim_location", "passenger_count_key": "dim_passenger_count",
+    "trip_flags_key": "dim_trip_flags", "trip_quality_key": "dim_trip_quality",
+    "ingestion_batch_key": "dim_ingestion_batch",
+}
+DIMENSION_KEYS = {dim: key for key, dim in _DIM_OF.items()}
+
+
+def _relation(key: str) -> tuple[str, str, str]:
+    """A foreign key, its dimension and the key there; four keys have a role before the name."""
+    own = next(k for k in _DIM_OF if key == k or key in (f"pickup_{k}", f"dropoff_{k}", f"pu_{k}", f"do_{k}"))
+    return key, _DIM_OF[own], own
+
+
+FACT_FOREIGN_KEYS = [
+    _relation(k)
+    for k in (
+        "pickup_date_key", "dropoff_date_key", "pickup_time_key", "dropoff_time_key", "vendor_key",
+        "payment_type_key", "rate_code_key", "pu_location_key", "do_location_key", "passenger_count_key",
+        "trip_flags_key", "trip_quality_key", "ingestion_batch_key",
+    )
+]
+_SUMMARY_KEYS = {
+    "fact_daily_trip_summary": ["pickup_date_key"],
+    "fact_vendor_daily_summary": ["pickup_date_key", "vendor_key"],
+    "fact_payment_daily_summary": ["pickup_date_key", "payment_type_key"],
+    "fact_location_daily_summary": ["pickup_date_key", "pu_location_key", "do_location_key"],
+}
+SUMMARY_FOREIGN_KEYS = [(t, *_relation(k)) for t, keys in _SUMMARY_KEYS.items() for k in keys]
+PRIMARY_KEYS = [("fact_trip", "trip_id"), *((t, k) for t, keys in _SUMMARY_KEYS.items() for k in keys),
+                *DIMENSION_KEYS.items()]
+DATE_JOINS = [
+    ("pickup_date_key", "fact_trip", "pickup_date_key"),
+    ("dropoff_date_key", "fact_trip", "dropoff_date_key"),
+    *((f"{t.split('_')[1]}_summary_pickup_date_key", t, "pickup_date_key") for t in _SUMMARY_KEYS),
+]
+SUMMARY_TABLES = {t.split("_")[1]: t for t in _SUMMARY_KEYS}
+STAR_PARTITIONED = ["fact_trip", *_SUMMARY_KEYS]
+TABLE_PARTITIONS = dict.fromkeys(STAR_PARTITIONED, ["pickup_year", "pickup_month"])
+TABLE_PARTITIONS["fact_daily_trip_summary"] = ["pickup_year"]
 
 ALL_TABLES = [
     "bronze", "silver", "gold_daily_revenue", "gold_vendor_revenue", "gold_payment_type_analysis",
@@ -24,6 +58,7 @@ SILVER_VALID = """tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS
 M = {
     "total_trips": "COUNT(*)",
     "total_passengers": "CAST(SUM(f.passenger_count) AS BIGINT)",
+    "known_passengers": "CAST(SUM(CASE WHEN f.passenger_count >= 0 THEN f.passenger_count END) AS BIGINT)",
     "total_revenue": xsum("f.total_amount"),
     "total_fare": xsum("f.fare_amount"),
     "total_tips": xsum("f.tip_amount"),
@@ -56,6 +91,17 @@ FROM (SELECT COUNT(*) AS n FROM silver WHERE {SILVER_VALID}) v, (SELECT COUNT(*)
     return with_ctes(body, ["silver", "fact"])
 
 
+def _reconcile_coalesced() -> str:
+    total = rnd(xsum("COALESCE(total_amount, 0.0)"), 2)
+    body = f"""SELECT v.n AS valid_silver_rows, f.n AS fact_rows, f.n - v.n AS row_difference,
+  v.r AS silver_total_revenue, f.r AS fact_total_revenue, {rnd('f.r - v.r', 2)} AS revenue_difference
+FROM (SELECT COUNT(*) AS n, {total} AS r FROM silver
+      WHERE tpep_dropoff_datetime >= tpep_pickup_datetime AND COALESCE(trip_distance, 0.0) >= 0
+        AND COALESCE(total_amount, 0.0) >= 0) v,
+     (SELECT COUNT(*) AS n, {rnd(xsum('total_amount'), 2)} AS r FROM fact) f"""
+    return with_ctes(body, ["silver", "fact"])
+
+
 def _reconcile_revenue() -> str:
     body = f"""SELECT s.r AS silver_total_revenue, f.r AS fact_total_revenue, {rnd('f.r - s.r', 2)} AS difference
 FROM (SELECT {rnd(xsum('total_amount'), 2)} AS r FROM silver WHERE {SILVER_VALID}) s,
@@ -213,6 +259,21 @@ GROUP BY d.vendor_name"""
     return with_ctes(body, ["fact", "dim_vendor", "dim_date", "dim_payment_type", "dim_passenger_count", "dim_time"])
 
 
+def _filtered_places() -> str:
+    body = f"""SELECT d.vendor_name AS vendor_name, {_m('total_trips', 'total_revenue', 'avg_revenue')}
+FROM fact f JOIN dim_vendor d ON f.vendor_key = d.vendor_key
+WHERE f.pickup_date_key IN (SELECT date_key FROM dim_date WHERE NOT is_weekend)
+  AND d.vendor_name IN ('Creative Mobile Technologies', 'VeriFone Inc', 'Unknown Vendor 3')
+  AND f.rate_code_key IN (SELECT rate_code_key FROM dim_rate_code
+                          WHERE rate_code_description IN ('Standard rate', 'JFK', 'Newark'))
+  AND f.pu_location_key IN (SELECT location_key FROM dim_location WHERE zone IN
+    (SELECT 'NATION_' || CAST(i AS VARCHAR) FROM range(0, 12) r(i)))
+  AND f.do_location_key IN (SELECT location_key FROM dim_location WHERE zone IN
+    (SELECT 'NATION_' || CAST(i AS VARCHAR) FROM range(6, 16) r(i) UNION ALL SELECT 'Unknown Location'))
+GROUP BY d.vendor_name"""
+    return with_ctes(body, ["fact", "dim_vendor", "dim_date", "dim_rate_code", "dim_location"])
+
+
 def _peak_days() -> str:
     inner = _by("dim_date", _ON_DATE, ["calendar_date"], _m("total_trips", "total_revenue"))
     return f"SELECT * FROM ({inner}) t ORDER BY total_trips DESC, calendar_date LIMIT 10"
@@ -239,6 +300,12 @@ LEFT JOIN dim_ingestion_batch b ON f.ingestion_batch_key = b.ingestion_batch_key
     return with_ctes(body, ["fact", *DIMENSION_KEYS])
 
 
+def _passenger_group() -> str:
+    return _by("dim_passenger_count", "f.passenger_count_key = d.passenger_count_key", ["passenger_group"],
+               _m("total_trips", "total_passengers", "known_passengers", "avg_revenue", "avg_trip_distance",
+                  "total_tips", "tip_pct"))
+
+
 _FACT_RELS = [(f"{k} -> {d}", "fact_trip", k, d, dk) for k, d, dk in FACT_FOREIGN_KEYS]
 _SUMMARY_RELS = [(f"{t}.{k} -> {d}", t, k, d, dk) for t, k, d, dk in SUMMARY_FOREIGN_KEYS]
 
@@ -274,6 +341,25 @@ ORACLE: dict[str, str] = {
     "check_unknown_members": _unknown_members(),
     "check_dim_unique": _dim_unique(),
     "check_partitions": _partitions(),
+    "reconcile_coalesced": _reconcile_coalesced(),
+    # the same checks over a warehouse with injected defects
+    "defect_duplicate_ids": with_defects(_duplicates()),
+    "defect_null_fk": with_defects(_null_fk()),
+    "defect_fact_fk": with_defects(_orphans(_FACT_RELS)),
+    "defect_summary_fk": with_defects(_orphans(_SUMMARY_RELS)),
+    "defect_date_join": with_defects(_date_joins()),
+    "defect_unknown_members": with_defects(_unknown_members()),
+    "defect_dim_unique": with_defects(_dim_unique()),
+    "defect_reconcile_rows": with_defects(_reconcile_rows()),
+    "defect_reconcile_revenue": with_defects(_reconcile_revenue()),
+    # the star over raw trips that were not cleansed
+    "fact_trip_uncleansed": uncleansed(table_sql("fact")),
+    "dim_ingestion_batch_uncleansed": uncleansed(table_sql("dim_ingestion_batch")),
+    "dim_passenger_count_uncleansed": uncleansed(table_sql("dim_passenger_count")),
+    "report_quality_uncleansed": uncleansed(_report_quality()),
+    "reconcile_rows_uncleansed": uncleansed(_reconcile_rows()),
+    "reconcile_coalesced_uncleansed": uncleansed(_reconcile_coalesced()),
+    "bi_passenger_group_uncleansed": uncleansed(_passenger_group()),
     # reports
     "report_quality": _report_quality(),
     "report_batches": _report_batches(),
@@ -304,13 +390,12 @@ ORACLE: dict[str, str] = {
     "bi_top_dropoff_zones": _top_zone("do_location_key", "dropoff_zone", "total_revenue"),
     "bi_routes": _routes(),
     "bi_filtered": _filtered(),
+    "bi_filtered_places": _filtered_places(),
     "bi_peak_days": _peak_days(),
     "bi_store_fwd": _by("dim_trip_flags", "f.trip_flags_key = d.trip_flags_key", ["store_and_fwd_description"],
                         _m("total_trips", "total_revenue", "avg_revenue")),
     "bi_rate_code": _by("dim_rate_code", "f.rate_code_key = d.rate_code_key", ["rate_code_description"],
                         _m("total_trips", "total_revenue", "avg_revenue")),
-    "bi_passenger_group": _by("dim_passenger_count", "f.passenger_count_key = d.passenger_count_key",
-                              ["passenger_group"],
-                              _m("total_trips", "total_passengers", "avg_revenue", "avg_trip_distance")),
+    "bi_passenger_group": _passenger_group(),
     "star_view": _star_view(),
 }

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cabstar.operators.audit import LoadInfo
 from cabstar.oracle import BATCH_ID, LOAD_COMPLETED, LOAD_STARTED
+from cabstar.operators.cleanse import align_schema, cast_to_contract
 from cabstar.plans import bi, checks, reports
+from cabstar.plans.defects import defective
 from cabstar.plans.star import star_view
 from cabstar.plans.warehouse import Warehouse
 from cabstar.sources.trips import raw_trips, zone_lookup
@@ -26,6 +28,15 @@ DASHBOARD_FILTERS = bi.FilterSet(
     dayparts=("Evening", "Night"),
 )
 
+# The other filters of the dashboard.
+PLACE_FILTERS = bi.FilterSet(
+    vendors=("Creative Mobile Technologies", "VeriFone Inc", "Unknown Vendor 3"),
+    rate_codes=("Standard rate", "JFK", "Newark"),
+    pickup_zones=tuple(f"NATION_{i}" for i in range(12)),
+    dropoff_zones=("Unknown Location", *(f"NATION_{i}" for i in range(6, 16))),
+    weekend=False,
+)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 FIXED_LOAD = LoadInfo(batch_id=BATCH_ID, load_started_utc=LOAD_STARTED, load_completed_utc=LOAD_COMPLETED)
@@ -35,6 +46,21 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(raw_trips(spark, sf_dir), FIXED_LOAD, zones=zone_lookup(spark, sf_dir))
 
 
+def uncleansed_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The star built straight from raw trips: the warehouse rules meet nulls, zero
+    distances, negative totals and reversed times, and copies are kept."""
+    raw = cast_to_contract(align_schema(raw_trips(spark, sf_dir)))
+    return Warehouse(raw, FIXED_LOAD, zones=zone_lookup(spark, sf_dir), overrides={"silver": raw})
+
+
+def _u(fn: Callable[[Warehouse], DataFrame]) -> Query:
+    return lambda spark, sf_dir: fn(uncleansed_warehouse(spark, sf_dir))
+
+
+def _d(fn: Callable[[Warehouse], DataFrame]) -> Query:
+    return lambda spark, sf_dir: fn(defective(warehouse(spark, sf_dir)))
+
+
 def _w(fn: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(warehouse(spark, sf_dir))
 
@@ -74,6 +100,25 @@ QUERIES: dict[str, Query] = {
     "check_unknown_members": _w(checks.unknown_members),
     "check_dim_unique": _w(checks.dimension_uniqueness),
     "check_partitions": _w(checks.partitions),
+    "reconcile_coalesced": _w(checks.reconcile_coalesced),
+    # the same checks over a warehouse with injected defects
+    "defect_duplicate_ids": _d(checks.duplicate_ids),
+    "defect_null_fk": _d(checks.null_foreign_keys),
+    "defect_fact_fk": _d(checks.fact_orphans),
+    "defect_summary_fk": _d(checks.summary_orphans),
+    "defect_date_join": _d(checks.date_joins),
+    "defect_unknown_members": _d(checks.unknown_members),
+    "defect_dim_unique": _d(checks.dimension_uniqueness),
+    "defect_reconcile_rows": _d(checks.reconcile_rows),
+    "defect_reconcile_revenue": _d(checks.reconcile_revenue),
+    # the star over raw trips that were not cleansed
+    "fact_trip_uncleansed": _u(lambda w: w.fact),
+    "dim_ingestion_batch_uncleansed": _u(lambda w: w.dims["dim_ingestion_batch"]),
+    "dim_passenger_count_uncleansed": _u(lambda w: w.dims["dim_passenger_count"]),
+    "report_quality_uncleansed": _u(reports.quality_distribution),
+    "reconcile_rows_uncleansed": _u(checks.reconcile_rows),
+    "reconcile_coalesced_uncleansed": _u(checks.reconcile_coalesced),
+    "bi_passenger_group_uncleansed": _u(bi.passenger_groups),
     # reports
     "report_quality": _w(reports.quality_distribution),
     "report_batches": _w(reports.batch_audit),
@@ -97,6 +142,7 @@ QUERIES: dict[str, Query] = {
     "bi_top_dropoff_zones": _w(bi.top_dropoff_zones),
     "bi_routes": _w(bi.routes),
     "bi_filtered": _w(lambda w: bi.filtered_kpis_by_vendor(w, DASHBOARD_FILTERS)),
+    "bi_filtered_places": _w(lambda w: bi.filtered_kpis_by_vendor(w, PLACE_FILTERS)),
     "bi_peak_days": _w(bi.peak_days),
     "bi_store_fwd": _w(bi.store_and_forward),
     "bi_rate_code": _w(bi.rate_code_revenue),

@@ -8,10 +8,11 @@ A report "fact JOIN dimension GROUP BY dimension attribute" is computed as
   3. re-aggregate the exact partial measures by the dimension attributes.
 This equals join-then-aggregate, duplicate dimension keys included (each joined dim row
 carries its key's totals, as each fact row would be repeated). Partial measures are
-DECIMAL cents and integer counts, so re-aggregation is exact and order-free.
+DECIMAL sums and integer counts, so re-aggregation is exact and order-free.
 
 The denormalised ``star_view`` (every fact row with all its dimensions) cannot be
-pre-aggregated; there each dimension is broadcast only after its row count is checked.
+pre-aggregated; there the optimizer and adaptive execution choose each join from the
+dimension's size in bytes.
 """
 
 from __future__ import annotations
@@ -19,28 +20,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cabstar.functions.money import exact_sum_dec
+from cabstar.functions.money import exact_parts, exact_total
 
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows; else leave it to a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+#: Money and distance measures: partial name -> fact column.
+_EXACT = {"revenue": "total_amount", "fare": "fare_amount", "tips": "tip_amount", "distance": "trip_distance"}
 
 
 def _partials() -> dict[str, Column]:
-    return {
+    out = {
         "trips": F.count(F.lit(1)),
         "trip_count": F.sum("trip_count"),
         "passengers": F.sum("passenger_count"),
-        "revenue": exact_sum_dec("total_amount"),
-        "fare": exact_sum_dec("fare_amount"),
-        "tips": exact_sum_dec("tip_amount"),
-        "distance": exact_sum_dec("trip_distance"),
+        "known_passengers": F.sum(F.when(F.col("passenger_count") >= 0, F.col("passenger_count"))),
         "seconds": F.sum(F.unix_timestamp("dropoff_ts") - F.unix_timestamp("pickup_ts")),
     }
+    for name, column in _EXACT.items():
+        out[name], out[f"{name}_others"] = exact_parts(column)
+    return out
 
 
 def rollup(fact: DataFrame, keys: list[str | Column]) -> DataFrame:
@@ -55,13 +51,11 @@ def reaggregate(df: DataFrame, by: list[str | Column]) -> DataFrame:
 def measure(name: str) -> Column:
     """Final measure from re-aggregated partials (reference BI definitions)."""
     trips = F.col("_p_trips")
-    revenue = F.col("_p_revenue").cast("double")
-    fare = F.col("_p_fare").cast("double")
-    tips = F.col("_p_tips").cast("double")
-    distance = F.col("_p_distance").cast("double")
+    revenue, fare, tips, distance = (exact_total(F.col(f"_p_{n}"), F.col(f"_p_{n}_others")) for n in _EXACT)
     out = {
         "total_trips": trips,
         "total_passengers": F.col("_p_passengers"),
+        "known_passengers": F.col("_p_known_passengers"),
         "total_revenue": revenue,
         "total_fare": fare,
         "total_tips": tips,
@@ -107,5 +101,5 @@ def star_view(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     out = fact
     for table, fk, key, cols, prefix in spec:
         d = dims[table].select(F.col(key).alias(f"_k_{fk}"), *[F.col(c).alias(prefix + c) for c in cols])
-        out = out.join(bounded_broadcast(d), out[fk] == d[f"_k_{fk}"], "left").drop(f"_k_{fk}")
+        out = out.join(d, out[fk] == d[f"_k_{fk}"], "left").drop(f"_k_{fk}")
     return out

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cabstar.operators.cleanse import align_schema, cast_to_contract
+
 # The public zone lookup's header.
 ZONE_LOOKUP_SCHEMA = T.StructType(
     [
@@ -22,13 +27,35 @@ def with_provenance(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file_name", F.col("_metadata.file_path"))
 
 
-def scan_raw(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
+def scan_raw(spark: SparkSession, path: str) -> DataFrame:
     """Raw trip Parquet under ``path`` (``year=YYYY/month=MM`` folders become columns).
 
-    ``mergeSchema`` reconciles files written before and after fee columns were added;
-    the lineage column records each row's file.
+    Files drift: fee columns come and go, names change case, and a column is int, bigint or
+    double by file, which one read schema cannot hold. So each file's footer is read (a file
+    a month), files of one schema are read together, cast to the contract and united by
+    name. The lineage column records each row's file.
     """
-    return with_provenance(spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).drop("content")
+    names = [r["path"] for r in files.select("path").orderBy("path").collect()]
+    if not names:
+        return with_provenance(spark.read.parquet(path))  # raises as Spark does
+    root = path.split("*", 1)[0].rstrip("/")
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        schemas = list(pool.map(lambda name: spark.read.parquet(name).schema, names))
+    groups: dict[str, list[int]] = {}
+    for i, schema in enumerate(schemas):
+        groups.setdefault(schema.json(), []).append(i)
+    frames = [
+        cast_to_contract(
+            align_schema(
+                with_provenance(
+                    spark.read.schema(schemas[at[0]]).option("basePath", root).parquet(*(names[i] for i in at))
+                )
+            )
+        )
+        for at in groups.values()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def scan_curated(spark: SparkSession, source: str) -> DataFrame:

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cabstar.session import checkpoint_dir
 
@@ -38,6 +42,23 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Folders that materialize() has written inside scratch_scope().
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the intermediates written inside; their frames must not outlive it."""
+    token = _scratch.set([])
+    try:
+        yield
+    finally:
+        for folder in _scratch.get():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _scratch.reset(token)
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write an intermediate to the shared checkpoint folder and read it back.
 
@@ -47,6 +68,8 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/cabstar-{label}-{uuid.uuid4().hex}"
+    if (scope := _scratch.get()) is not None:
+        scope.append(path)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
 
@@ -65,13 +88,28 @@ def write_tables(jobs: list[tuple[DataFrame, str, list[str] | None, str]], paral
 
 
 def register_table(
-    spark: SparkSession, database: str, name: str, path: str, partition_cols: list[str] | None = None
+    spark: SparkSession,
+    database: str,
+    name: str,
+    path: str,
+    partition_cols: list[str] | None = None,
+    schema: T.StructType | None = None,
 ) -> None:
-    """External table over an existing Parquet folder; partitions are discovered."""
+    """External table over an existing Parquet folder; partitions are discovered.
+
+    With a declared ``schema`` files of other types or columns are refused.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     full = f"`{database}`.`{name}`"
     spark.sql(f"DROP TABLE IF EXISTS {full}")  # external: files are kept
-    schema = spark.read.parquet(path).schema
+    found = spark.read.parquet(path).schema
+    if schema is not None:
+        declared = {f.name: f.dataType for f in schema.fields}
+        written = {f.name: f.dataType for f in found.fields}
+        if declared != written:
+            odd = sorted(n for n in declared.keys() | written.keys() if declared.get(n) != written.get(n))
+            raise ValueError(f"{name} at {path} differs from its declared schema in: {', '.join(odd)}")
+    schema = schema or found
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     partitioned = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
     spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet{partitioned} LOCATION '{path}'")

@@ -1,10 +1,10 @@
 """Incremental curated loads: each newly landed raw file is cleansed once.
 
-Raw trip files land month by month. A file-source stream with an ``availableNow``
-trigger picks up exactly the files not yet processed (tracked in the stream's
-checkpoint), cleanses them and appends them to the curated table. This equals a full
-re-cleanse: duplicates are whole rows *including* the file name, and a file source hands
-over whole files per micro-batch, so no duplicate can span two micro-batches.
+Raw trip files land month by month. A file-source stream with an ``availableNow`` trigger
+picks up the files not yet processed and loads each batch like ``load_curated``: a file's
+rows replace what is stored of that file. So a batch that is replayed, and a stream whose
+state was lost, write the same table again instead of adding to it. The state lies inside
+the target (in a folder that readers skip), so every application continues it.
 """
 
 from __future__ import annotations
@@ -13,20 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabstar.operators.cleanse import cleanse
-from cabstar.session import checkpoint_dir
-from cabstar.sources.sinks import write_table
+from cabstar.plans.warehouse import load_curated
+from cabstar.sources.sinks import scratch_scope
 
 
 def incremental_curated_load(
-    spark: SparkSession,
-    raw_path: str,
-    raw_schema: T.StructType,
-    curated_path: str,
-    stream_checkpoint: str | None = None,
+    spark: SparkSession, raw_path: str, raw_schema: T.StructType, base_path: str, stream_state: str | None = None
 ) -> None:
-    """Process every raw file not yet loaded, then stop (idempotent across runs)."""
-    location = stream_checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/cabstar-stream-curated"
+    """Load every raw file not yet loaded into ``base_path/silver``, then stop."""
     raw = (
         spark.readStream.schema(raw_schema)
         .option("maxFilesPerTrigger", 64)
@@ -35,11 +29,12 @@ def incremental_curated_load(
     )
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        write_table(cleanse(batch), curated_path, ["pickup_year", "pickup_month"], mode="append")
+        with scratch_scope(spark):
+            load_curated(batch, base_path)
 
     query = (
         raw.writeStream.foreachBatch(load)
-        .option("checkpointLocation", location)
+        .option("checkpointLocation", stream_state or f"{base_path.rstrip('/')}/_stream_state")
         .trigger(availableNow=True)
         .start()
     )

@@ -1,10 +1,16 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cabstar.operators.audit import LoadInfo
-from cabstar.plans import checks
-from cabstar.plans.registry import warehouse
-from cabstar.plans.warehouse import TABLE_PARTITIONS, build_warehouse
+from cabstar.plans import bi, checks
+from cabstar.plans.contract import DECLARED
+from cabstar.plans.registry import DASHBOARD_FILTERS, warehouse
+from cabstar.plans.star import star_view
+from cabstar.plans.warehouse import TABLE_PARTITIONS, build_warehouse, load_marts, load_star
+from cabstar.session import checkpoint_dir
 from cabstar.sources.sinks import register_table, show_partitions, write_table
 from cabstar.sources.trips import raw_trips, zone_lookup
 from tests.conftest import SF_SMALL
@@ -59,10 +65,50 @@ def test_catalog_registration_lists_partitions(spark, built):
     assert spark.table("cabstar_test.fact_trip").count() == spark.read.parquet(f"{base}/fact_trip").count()
 
 
-def test_duplicate_batch_refused(spark, built):
+def _files(base):
+    return {(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(base) for f in names}
+
+
+def test_refused_batches_change_no_file(spark, built):
     base, _ = built
-    with pytest.raises(ValueError):
-        build_warehouse(raw_trips(spark, SF_SMALL), base, LoadInfo(batch_id="20250101000000"))
+    before = _files(base)
+    for batch in ("20250101000000", "abc", ""):
+        with pytest.raises(ValueError):
+            build_warehouse(raw_trips(spark, SF_SMALL), base, LoadInfo(batch_id=batch))
+    assert _files(base) == before
+
+
+def test_audit_row_has_true_times_and_path(built):
+    base, w = built
+    (row,) = w.dims["dim_ingestion_batch"].collect()
+    assert row["load_started_utc"] < row["load_completed_utc"] and row["target_base_path"] == base
+
+
+def test_load_leaves_no_scratch(spark, built):
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    labels = ("curated", "curated-kept", "marts", "codes", "summaries")
+    assert not [f for f in os.listdir(folder) if f.rsplit("-", 1)[0] in {f"cabstar-{x}" for x in labels}]
+
+
+def test_declared_tables_match_the_files(spark, built):
+    base, w = built
+    for name in ("silver", "fact_trip", "dim_vendor", "fact_daily_trip_summary"):
+        register_table(spark, "cabstar_declared", name, f"{base}/{name}", TABLE_PARTITIONS[name] or None, DECLARED[name])
+        assert spark.table(f"cabstar_declared.{name}").count() == w.tables()[name].count()
+    with pytest.raises(ValueError, match="vendor_name"):
+        wrong = T.StructType([f for f in DECLARED["dim_vendor"].fields if f.name != "vendor_name"])
+        register_table(spark, "cabstar_declared", "dim_vendor", f"{base}/dim_vendor", None, wrong)
+
+
+def test_marts_and_star_load_from_a_catalog_table(spark, built, tmp_path_factory):
+    base, w = built
+    register_table(spark, "cabstar_split", "trips", f"{base}/silver", TABLE_PARTITIONS["silver"])
+    other = str(tmp_path_factory.mktemp("split"))
+    marts = load_marts(spark, other, "cabstar_split.trips")
+    star = load_star(spark, other, LoadInfo(batch_id="20250101000000"), "cabstar_split.trips",
+                     zones=zone_lookup(spark, SF_SMALL))
+    assert sorted(marts["gold_vendor_revenue"].collect(), key=str) == sorted(w.marts["vendor_revenue"].collect(), key=str)
+    assert sorted(star["fact_trip"].collect(), key=str) == sorted(w.fact.collect(), key=str)
 
 
 def test_non_numeric_batch_refused_before_any_job(spark):
@@ -84,6 +130,23 @@ def test_dynamic_overwrite_keeps_absent_partitions(spark, scratch):
     assert got == [(1, "a"), (2, "c")]
 
 
+def test_building_queries_runs_nothing_and_leaves_nothing(spark):
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    w = warehouse(spark, SF_SMALL)
+    spark.sparkContext.setJobGroup("build-only", "build")
+    _ = [w.fact, star_view(w.fact, w.dims), bi.filtered_kpis_by_vendor(w, DASHBOARD_FILTERS), w.marts["daily_revenue"]]
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build-only")
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert not jobs and (set(os.listdir(folder)) if os.path.isdir(folder) else set()) == before
+
+
+def test_one_dimension_plans_one_dimension(spark):
+    w = warehouse(spark, SF_SMALL)
+    plan = _plan(w.dims["dim_ingestion_batch"])
+    assert "Window" not in plan and list(w.dims._built) == ["dim_ingestion_batch"]
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -132,3 +195,29 @@ def test_period_loads_equal_one_full_load(spark, tmp_path_factory):
     assert sorted(w.marts["daily_revenue"].collect(), key=str) == sorted(full.marts["daily_revenue"].collect(), key=str)
     assert all(r["missing_rows"] == 0 for r in checks.fact_orphans(w).collect())
     assert w.dims["dim_ingestion_batch"].count() == 2
+
+
+def test_month_load_with_stray_dates_equals_a_full_load(spark, tmp_path_factory):
+    raw = raw_trips(spark, SF_SMALL).withColumn("source_file_name", F.date_format("tpep_pickup_datetime", "yyyy"))
+    stray = (F.col("source_file_name") == "1999") & (F.col("payment_type") == 3) & (F.col("vendorid") == 2)
+    early = F.col("tpep_pickup_datetime") - F.expr("INTERVAL 4 YEARS")
+    late = F.col("tpep_dropoff_datetime") - F.expr("INTERVAL 4 YEARS")
+    raw = raw.withColumns({"tpep_pickup_datetime": F.when(stray, early).otherwise(F.col("tpep_pickup_datetime")),
+                           "tpep_dropoff_datetime": F.when(stray, late).otherwise(F.col("tpep_dropoff_datetime"))})
+    zones = zone_lookup(spark, SF_SMALL)
+    full = build_warehouse(raw, str(tmp_path_factory.mktemp("full")), LoadInfo(batch_id="1"), zones=zones)
+    base = str(tmp_path_factory.mktemp("months"))
+    build_warehouse(raw.where("source_file_name <> '1999'"), base, LoadInfo(batch_id="1"), zones=zones)
+    feed = raw.where("source_file_name = '1999'")  # holds rows of 1995 as well
+    w = build_warehouse(feed, base, LoadInfo(batch_id="2"), zones=zones, scope_months=[(1999, 3)])
+    assert full.silver.where("source_file_name = '1999' and pickup_year = 1995").count() > 0
+    no_batch = ["trip_id", "ingestion_batch_key"]
+    order = sorted(w.fact.columns)
+    for ours, want in ((w.silver, full.silver), (w.fact.drop(*no_batch), full.fact.drop(*no_batch)),
+                       *((w.summaries[n], full.summaries[n]) for n in w.summaries), *((w.marts[n], full.marts[n]) for n in w.marts)):
+        order = sorted(want.columns)
+        assert sorted(ours.select(*order).collect(), key=str) == sorted(want.select(*order).collect(), key=str)
+    assert checks.reconcile_rows(w).first()["difference"] == 0
+    # the same file once more changes nothing
+    again = build_warehouse(feed, base, LoadInfo(batch_id="3"), zones=zones, scope_months=[])
+    assert again.silver.count() == full.silver.count() and again.fact.count() == full.fact.count()
