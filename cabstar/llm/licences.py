@@ -1,25 +1,28 @@
 """Licence scan with a positional index of rare words, in built-in functions only.
 
-The corpus gives each template word a document frequency; the index holds the templates'
-postings (template, position) of their highest-IDF words. In a file, each such word at
-position i proposes the template starts i - position; a start stays if the template's
-mandatory phrases stand at their places, counted from it. All steps work on arrays inside
-the row, so a file costs its own length and nothing is shuffled but word counts.
+Each file is tokenized once, into its positional postings: where it holds words of the
+licence templates. These give each such word a document frequency. A file that holds the
+highest-IDF mandatory word of a template is looked up: that word's postings, counted from
+the template's start, are intersected with those of the template's other mandatory words,
+and what is left are the places where all key phrases stand in their relative positions.
+All steps work on arrays inside the row; only word counts are shuffled.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabstar.llm.common import stored
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Starts may lie before the file, by less than this.
-_SHIFT, _BITS = 1 << 20, 1 << 40
+#: A posting is position * WORD_LIMIT + number of the word; templates have fewer words than that.
+WORD_LIMIT = 4096
 
 
 @dataclass(frozen=True)
@@ -35,11 +38,13 @@ class Template:
     def words(self) -> list[str]:
         return re.findall(WORD, self.text)
 
-    def places(self) -> list[tuple[int, list[str]]]:
-        at = []
+    def mandatory(self) -> dict[int, str]:
+        """Words of the key phrases by their place in the template."""
+        at: dict[int, str] = {}
         for phrase in self.phrases:
             w = re.findall(WORD, phrase)
-            at.append((next(i for i in range(len(self.words)) if self.words[i : i + len(w)] == w), w))
+            first = next(i for i in range(len(self.words)) if self.words[i : i + len(w)] == w)
+            at |= dict(enumerate(w, first))
         return at
 
 
@@ -90,34 +95,19 @@ def file_words(text: Column) -> Column:
     return F.regexp_extract_all(plain, F.lit(WORD), F.lit(0))
 
 
-def document_frequency(docs: DataFrame, vocabulary: Sequence[str], text_col: str = "text") -> tuple[int, dict]:
-    """Number of files, and in how many each word of the vocabulary occurs."""
-    held = F.array_distinct(F.filter(file_words(F.col(text_col)), lambda w: w.isin(list(vocabulary))))
-    held = F.array_append(held, F.lit(""))  # counts the files
-    counts = docs.select(F.explode(held).alias("w")).groupBy("w").count().collect()
-    found = {r["w"]: r["count"] for r in counts}
-    return found.pop("", 0), found
-
+def postings(words: Column, vocabulary: Sequence[str]) -> Column:
+    """Where words of the vocabulary stand, in order."""
+    known = F.lit(list(vocabulary))
+    code = lambda w, i: i.cast("long") * WORD_LIMIT + F.array_position(known, w) - 1
+    held = F.transform(words, lambda w, i: F.when(w.isin(list(vocabulary)), code(w, i)))
+    return F.filter(held, lambda p: p.isNotNull())
 
-def postings(templates: Sequence[Template], files: int, df: dict[str, int], rare: int) -> dict[str, list]:
-    """Rare word -> (template, position), for each template's ``rare`` words of highest IDF."""
-    index: dict[str, list[tuple[int, int]]] = {}
-    for t, template in enumerate(templates):
-        # only words of mandatory phrases: any accepted start is then proposed by each of them
-        needed = {w for _, words in template.places() for w in words}
-        idf = {w: math.log((files + 1) / (df.get(w, 0) + 1)) for w in needed}
-        for w in sorted(needed, key=lambda w: (-idf[w], w))[:rare]:
-            index.setdefault(w, []).extend((t, p) for p, x in enumerate(template.words) if x == w)
-    return index
 
-
-def _literal(value) -> Column:
-    """Nested lists, tuples (as structs), strings and ints as a constant."""
-    if isinstance(value, list):
-        return F.array(*map(_literal, value))
-    if isinstance(value, tuple):
-        return F.struct(*(_literal(v).alias(f"f{i}") for i, v in enumerate(value)))
-    return F.lit(value)
+def document_frequency(files: DataFrame, vocabulary: Sequence[str]) -> dict[str, int]:
+    """In how many files each word occurs."""
+    held = F.array_distinct(F.transform("_postings", lambda p: p % WORD_LIMIT))
+    counts = files.select(F.explode(held).alias("w")).groupBy("w").count().collect()
+    return dict.fromkeys(vocabulary, 0) | {vocabulary[r["w"]]: r["count"] for r in counts}
 
 
 def scan_licences(
@@ -125,53 +115,53 @@ def scan_licences(
     templates: Sequence[Template] = BASE + COMMON,
     keep: Sequence[str] = ("doc_id",),
     text_col: str = "text",
-    rare: int = 1,
-    least: float = 0.6,
 ) -> DataFrame:
     """Find licence templates in whole texts; a row for each input row.
 
-    Returns ``keep``, ``n_words`` and ``matches``: array<struct<label, base, start, score>>
-    of accepted places in order of template and start, where ``score`` is the share of the
-    template's words that stand at their place (``least`` or more). ``rare`` words of each
-    template are looked up; one suffices to find every place, as each must occur in it.
-    Null and empty texts have no words and no match; repeated rows give repeated results.
+    Returns ``keep``, ``n_words`` and ``matches``: for each template found, in order of the
+    templates, array<struct<label, base, starts, score>>, where ``starts`` are all words at
+    which it begins (from 0; below 0 if its first words are cut off) and ``score`` is the
+    share of its words that stand in place there. A template is found where all its key
+    phrases stand. Null and empty texts have no words and no match; repeated rows give
+    repeated results.
     """
-    vocabulary = sorted({w for t in templates for _, words in t.places() for w in words})
-    index = postings(templates, *document_frequency(docs, vocabulary, text_col), rare)
-    phrases = _literal([[(p, len(w), w) for p, w in t.places()] for t in templates])
-    texts = _literal([(t.label, t.base, t.words) for t in templates])
-    lookup = F.create_map(*(x for w, at in sorted(index.items()) for x in (F.lit(w), _literal(at))))
-
-    def starts(words: Column) -> Column:
-        rare_at = F.transform(words, lambda w, i: F.when(w.isin(sorted(index)), i))
-        rare_at = F.filter(rare_at, lambda i: i.isNotNull())
-        proposed = lambda i: F.transform(
-            F.element_at(lookup, F.get(words, i)),
-            lambda q: q["f0"].cast("long") * _BITS + (i - q["f1"] + _SHIFT).cast("long"),
+    vocabulary = sorted({w for t in templates for w in t.words})
+    number = {w: i for i, w in enumerate(vocabulary)}
+    if len(vocabulary) > WORD_LIMIT:
+        raise ValueError(f"the templates have more than {WORD_LIMIT} different words")
+    keep = [c for c in keep if c not in ("n_words", "matches")]
+    words = F.col("_words")
+    files = docs.select(*keep, file_words(F.col(text_col)).alias("_words"))
+    files = stored(
+        files.select(*keep, F.size(words).cast("long").alias("n_words"), postings(words, vocabulary).alias("_postings")),
+        "licences",
+    )
+    df = document_frequency(files, vocabulary)
+    held, rare = F.col("_postings"), set()
+
+    def standing(word: str, place: int) -> Column:
+        """Template starts for which this word stands at its place."""
+        own = F.filter(held, lambda p: p % WORD_LIMIT == number[word])
+        return F.transform(own, lambda p: F.floor(p / WORD_LIMIT) - place)
+
+    def match(t: Template) -> Column:
+        by_idf = sorted(t.mandatory().items(), key=lambda x: (df[x[1]], x))  # highest IDF first
+        rare.add(number[by_idf[0][1]])
+        starts = reduce(F.array_intersect, [standing(w, place) for place, w in by_idf])
+        in_place = lambda s: F.transform(
+            F.lit([number[w] for w in t.words]), lambda w, i: (s + i) * WORD_LIMIT + w
         )
-        return F.array_sort(F.array_distinct(F.flatten(F.transform(rare_at, proposed))))
-
-    def stands(words: Column, start: Column, place: Column, n: Column, what: Column) -> Column:
-        at = start + place
-        return F.when(at >= 0, F.slice(words, F.greatest(at, F.lit(0)) + 1, n) == what).otherwise(False)
-
-    def match(words: Column, code: Column) -> Column:
-        t, start = (code / _BITS).cast("int"), (code % _BITS).cast("int") - _SHIFT
-        template = F.get(texts, t)
-        same = F.transform(template["f2"], lambda w, i: F.get(words, start + i).eqNullSafe(w).cast("int"))
-        score = F.aggregate(same, F.lit(0), lambda a, x: a + x) / F.size(template["f2"])
-        ok = F.forall(F.get(phrases, t), lambda p: stands(words, start, p["f0"], p["f1"], p["f2"]))
-        return F.when(
-            ok,
-            F.struct(
-                template["f0"].alias("label"), template["f1"].alias("base"), start.alias("start"), score.alias("score")
-            ),
+
+        def shares(starts: Column) -> Column:
+            found = F.size(F.array_intersect(F.flatten(F.transform(starts, in_place)), held))
+            return F.least(F.lit(1.0), found / F.greatest(F.size(starts) * len(t.words), F.lit(1)))
+
+        return F.transform(
+            F.array(starts),
+            lambda s: F.struct(F.lit(t.label).alias("label"), F.lit(t.base).alias("base"), s.alias("starts"), shares(s).alias("score")),
         )
 
-    words, codes = F.col("_words"), F.col("_codes")
-    taken = F.filter(F.transform(codes, lambda c: match(words, c)), lambda m: m.isNotNull() & (m["score"] >= least))
-    return (
-        docs.select(*keep, file_words(F.col(text_col)).alias("_words"))
-        .withColumn("_codes", starts(words))
-        .select(*(c for c in keep if c not in ("n_words", "matches")), F.size(words).cast("long").alias("n_words"), taken.alias("matches"))
-    )
+    found = F.filter(F.concat(*map(match, templates)), lambda m: F.size(m["starts"]) > 0)
+    lookup = F.exists(held, lambda p: (p % WORD_LIMIT).isin(sorted(rare)))
+    none = F.from_json(F.lit("[]"), "array<struct<label:string,base:boolean,starts:array<bigint>,score:double>>")
+    return files.select(*keep, "n_words", F.when(lookup, found).otherwise(none).alias("matches"))

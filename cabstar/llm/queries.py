@@ -48,15 +48,15 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan_licences(table(spark, sf_dir, "documents", "doc_id", "text"))
     base = F.filter("matches", lambda m: m["base"])
-    start = F.transform(base, lambda m: m["start"].cast("long"))
+    starts = F.flatten(F.transform(base, lambda m: m["starts"]))
     joined = lambda ms: F.array_join(F.array_sort(F.array_distinct(F.transform(ms, lambda m: m["label"]))), ",")
     score = F.array_max(F.transform("matches", lambda m: m["score"]))
     return found.select(
         "doc_id",
         "n_words",
-        F.size(base).cast("long").alias("n_base"),
-        F.array_min(start).alias("first_word"),
-        F.array_max(start).alias("last_word"),
+        F.size(starts).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
         joined(base).alias("base_labels"),
         joined(F.col("matches")).alias("labels"),
         F.coalesce(score, F.lit(0.0)).alias("score"),
