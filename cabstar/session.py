@@ -6,7 +6,9 @@ session is used as-is. ``get_session`` is for local runs, tests and the bench.
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +46,29 @@ def get_session(
     return spark
 
 
+#: Applications that have the package on their workers.
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once an application, as ``--py-files`` would.
+
+    Functions that run on executors are imported there by name; a session that somebody
+    else started need not have the package on its workers' path.
+    """
+    application = spark.conf.get("spark.app.id", "") or str(id(spark))
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="cabstar-ship-")  # read by the driver only, which serves the file
+    archive = shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
+    try:
+        spark.sparkContext.addPyFile(archive)
+    except Exception:  # noqa: BLE001 - Spark Connect has artifacts instead of a context
+        spark.addArtifacts(archive, pyfile=True)
+    _shipped.add(application)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
