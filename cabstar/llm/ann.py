@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cabstar.llm.common import stored
+from cabstar.llm.common import operator, stored
 
 DEGREE = 32
 BEAM = 64
@@ -157,6 +157,7 @@ def distinct_vectors(rows: DataFrame, members: int) -> DataFrame:
     return found.select(F.col("ids")[0].alias("node"), "v", "ids")
 
 
+@operator
 def build_index(nodes: DataFrame, shard_rows: int = SHARD_ROWS, degree: int = DEGREE, beam: int = BEAM) -> DataFrame:
     """One graph for each shard: shard, place, node, ids, v, edges, entry. Every vector is indexed.
 
@@ -178,6 +179,7 @@ def build_index(nodes: DataFrame, shard_rows: int = SHARD_ROWS, degree: int = DE
     return dealt.groupBy("dim", "shard").applyInPandas(build, schema)
 
 
+@operator
 def search(
     index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM, block: int = QUERY_BLOCK, degree: int = DEGREE
 ) -> DataFrame:
@@ -226,6 +228,7 @@ def search(
     return rows.groupBy("node").agg(F.transform(ranked, lambda x: F.struct(x["score"], x["id"])).alias("found"))
 
 
+@operator
 def nearest(
     table: DataFrame,
     queries: Column,

@@ -20,7 +20,17 @@ import numpy as np
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from cabstar.llm.common import BREAK, DIGIT, WHITE_SPACE, Memo, byte_letters, latin_classes, map_rows, special_pattern
+from cabstar.llm.common import (
+    BREAK,
+    DIGIT,
+    WHITE_SPACE,
+    Memo,
+    byte_letters,
+    latin_classes,
+    map_rows,
+    operator,
+    special_pattern,
+)
 
 #: Control characters that Python takes for white space but Unicode doesn't.
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -164,6 +174,7 @@ SCHEMA = "n_tokens long, ids binary, decoded binary"
 DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+@operator
 def encode_texts(
     docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",), text_col: str = "text", digests: bool = False
 ) -> DataFrame:

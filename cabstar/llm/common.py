@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 from itertools import islice
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
+from cabstar.session import ship_package
 from cabstar.sources.sinks import materialize
 
 #: Separators of the word rule ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` on lower-cased text:
@@ -28,6 +30,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def operator(function: Callable) -> Callable:
+    """Marks a function whose work runs in Python workers; its first argument has the session."""
+
+    @wraps(function)
+    def run(first, *args, **options):
+        ship_package(first if isinstance(first, SparkSession) else first.sparkSession)
+        return function(first, *args, **options)
+
+    return run
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: write to the cluster's shared checkpoint folder and read back."""
     return materialize(df, f"llm-{label}")

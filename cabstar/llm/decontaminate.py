@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabstar.llm.common import map_rows, stored, words_of
+from cabstar.llm.common import map_rows, operator, stored, words_of
 
 #: Words in the original text; A-Z are included here as the text is not lower-cased.
 _WORDS = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -114,6 +114,7 @@ def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+@operator
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabstar.llm.common import Memo, map_rows, stored
+from cabstar.llm.common import Memo, map_rows, operator, stored
 from cabstar.llm.components import components
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -193,6 +193,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return found.where("ok").select("a", "b")
 
 
+@operator
 def similar_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -304,6 +305,7 @@ def _open_tokens(tokens: DataFrame, member: DataFrame, comp: DataFrame) -> DataF
     return tokens.join(of_token.where("lowest <> highest").select("token"), "token", "left_semi")
 
 
+@operator
 def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabstar.llm.common import map_rows
+from cabstar.llm.common import map_rows, operator
 
 _TOKEN = re.compile("[0-9a-z]+")
 _PARTS = re.compile(r"^.*?://([^/?#]*)([^?#]*)(.*)$", re.S)
@@ -114,6 +114,7 @@ class Index:
         return [self.rules[i][1] for i in candidates if self.rules[i][0].search(subject)]
 
 
+@operator
 def judge_urls(
     urls: DataFrame,
     rules: Sequence[Rule] = HOST_RULES + PATTERN_RULES,

@@ -16,7 +16,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabstar.llm.common import WHITE_SPACE, Memo, byte_letters, map_rows
+from cabstar.llm.common import WHITE_SPACE, Memo, byte_letters, map_rows, operator
 
 
 class LongestMatch:
@@ -104,6 +104,7 @@ def counter(path: str) -> Counter:
 SCHEMA = "n_tokens long, n_words long, n_unknown long"
 
 
+@operator
 def token_counts(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """Greedy longest-match token counts of whole texts; a row for each input row.
 
