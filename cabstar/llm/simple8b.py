@@ -12,6 +12,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cabstar.llm.common import Memo, map_rows, special_pattern
+from cabstar.llm.common import BREAK, SPACE, Memo, byte_letters, latin_classes, map_rows, operator, special_pattern
 
 #: Ids in a word and bits of each, by selector (the published coding's).
 COUNTS = (240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
@@ -40,27 +41,20 @@ _MAGIC = b"S8B1"
 
 @lru_cache(maxsize=1)
 def _widths() -> np.ndarray:
-    return np.array([i.bit_length() for i in range(1 << 10)], np.uint8)
-
-
-def widths(ids: np.ndarray) -> np.ndarray:
     """Bits of each id below 2 ** ESCAPE_BITS."""
-    table = _widths()
-    high = ids >> 10
-    return np.where(high > 0, table[high] + np.uint8(10), table[ids & 1023])
+    return np.repeat(np.arange(ESCAPE_BITS + 1, dtype=np.uint8), [1, *(1 << b for b in range(ESCAPE_BITS))])
 
 
 def pack(ids: np.ndarray) -> bytes:
-    """A block of ids below 2 ** 32."""
-    values = ids.astype(np.uint64)
-    escaped = np.flatnonzero(values >> ESCAPE_BITS)
+    """A block of unsigned 32-bit ids."""
+    n, most = len(ids), COUNTS[0]
+    values = np.zeros(n + most, np.uint64)
+    values[:n] = ids
+    escaped = np.flatnonzero(ids >> np.uint32(ESCAPE_BITS))
     escapes = values[escaped]
     values[escaped] = 0
-    n, most = len(values), COUNTS[0]
-    values = np.concatenate([values, np.zeros(most, np.uint64)])
-    width = widths(values)
     best = np.ones(n, np.uint8)
-    peak, span = width, 1  # peak[i]: the widest of the ids i .. i + span - 1
+    peak, span = _widths()[values], 1  # peak[i]: the widest of the ids i .. i + span - 1
     for count in sorted(COUNTS)[1:]:
         while span < count:
             step = min(span, count - span)
@@ -68,7 +62,7 @@ def pack(ids: np.ndarray) -> bytes:
         fits = peak[:n] <= BITS[_SELECTOR[count]]
         if not fits.any():
             break  # more ids in a word have fewer bits each: none fits either
-        best[fits] = count
+        np.putmask(best, fits, count)
     jump, at, i = best.tobytes(), [], 0
     while i < n:
         at.append(i)
@@ -118,30 +112,81 @@ def unpack(block: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     return out[first:last]
 
 
-class ChunkedEncoder:
-    """A byte-level tokenizer whose ids are remembered for runs of text between spaces.
+class WordEncoder:
+    """A byte-level tokenizer whose ids are remembered for each word of its split pattern.
 
-    A space between two characters that aren't white space always begins a new word of
-    the tokenizer's split pattern, so a text may be cut before it.
+    Plain Latin texts are split into words by numpy, equal words of a batch of texts are
+    found by hash, and the library's BPE model encodes each of them once. Other texts are
+    cut before spaces between two characters that aren't white space (there a word always
+    begins), and the library encodes these runs.
     """
 
     _AT_SPACE = re.compile(r"\s | \s")
     _SAFE = re.compile(r"(?<=\S) (?=\S)")
+    #: Words up to this length are compared by hash (one random factor for each place).
+    _HASHED = 64
+    _FACTORS = np.random.default_rng(8).integers(1 << 62, 1 << 63, _HASHED + 1, np.uint64) | np.uint64(1)
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = special_pattern(self.tokenizer)
-        self.first = Memo(lambda t: self._ids(t), 50_000)
-        self.later = Memo(lambda t: self._ids(" " + t))
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit integers."""
+        self.letters = dict(enumerate(byte_letters()))
+        self.words = Memo(self._word, 400_000)
+        self.first = Memo(self._run, 50_000)
+        self.later = Memo(lambda t: self._run(" " + t), 50_000)
+
+    def _word(self, word: str) -> bytes:
+        if word.isascii():  # white space stands only at the begin of a word
+            letters = self.letters[ord(word[0])] + word[1:]
+        else:
+            letters = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def _run(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _cuts(self, text: str) -> np.ndarray | None:
+        """Where the words of a plain Latin text begin; None for other texts."""
+        classes = latin_classes(text)
+        if classes is None or (self.special and self.special.search(text)):
+            return None
+        blank = classes <= BREAK
+        if (blank[1:] & blank[:-1]).any():
+            return None  # how white space in a row is split depends on what follows
+        new = (classes[1:] != classes[:-1]) & (classes[:-1] != SPACE)
+        return np.concatenate([[0], np.flatnonzero(new) + 1])
+
+    def _keys(self, raw: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """A hash of each word; long words have one of their own."""
+        place = np.arange(len(raw)) - np.repeat(begin, sizes)
+        values = (raw.astype(np.uint64) + np.uint64(1)) * self._FACTORS[np.minimum(place, self._HASHED)]
+        keys = np.add.reduceat(values, begin)
+        long = np.flatnonzero(sizes > self._HASHED)
+        keys[long] = long.astype(np.uint64)
+        return keys
+
+    def _plain(self, texts: list[str], cuts: list[np.ndarray]) -> list[bytes]:
+        text = "".join(texts)
+        at = np.cumsum([0, *map(len, texts)])
+        begin = np.concatenate([c + a for c, a in zip(cuts, at, strict=False)])
+        sizes = np.diff(np.append(begin, len(text)))
+        keys = self._keys(np.frombuffer(text.encode("latin-1"), np.uint8), begin, sizes)
+        _, first, same = np.unique(keys, return_index=True, return_inverse=True)
+        places = zip(begin[first].tolist(), (begin + sizes)[first].tolist(), strict=True)
+        found = self.words.all([text[a:b] for a, b in places])
+        flat = np.frombuffer(b"".join(found), "<u4")
+        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        start, count = (np.cumsum(n) - n)[same], n[same]
+        ends = np.cumsum(count)
+        ids = flat[np.repeat(start - (ends - count), count) + np.arange(ends[-1])].tobytes()
+        of_text = [0, *ends[np.cumsum([len(c) for c in cuts]) - 1].tolist()]
+        return [ids[4 * a : 4 * b] for a, b in zip(of_text, of_text[1:], strict=False)]
+
+    def _other(self, text: str) -> bytes:
         out = []
-        for part in self.special.split(text) if text and self.special else [text or ""]:
+        for part in self.special.split(text) if self.special else [text]:
             if self.special and self.special.fullmatch(part):
                 out.append(struct.pack("<I", self.tokenizer.token_to_id(part)))
             elif part:
@@ -150,16 +195,30 @@ class ChunkedEncoder:
                 out.extend(map(self.later.__getitem__, runs[1:]))
         return b"".join(out)
 
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts as little-endian unsigned 32-bit integers; null and empty have none."""
+        cuts = [self._cuts(t) if t else None for t in texts]
+        plain = [i for i, c in enumerate(cuts) if c is not None]
+        out = [b""] * len(texts)
+        if plain:
+            for i, ids in zip(plain, self._plain([texts[i] for i in plain], [cuts[i] for i in plain]), strict=True):
+                out[i] = ids
+        for i, text in enumerate(texts):
+            if text and cuts[i] is None:
+                out[i] = self._other(text)
+        return out
+
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> ChunkedEncoder:
+def encoder(path: str) -> WordEncoder:
     """One for each Python worker: it is kept between tasks."""
-    return ChunkedEncoder(path)
+    return WordEncoder(path)
 
 
 FILES = "shard int, first long, n_ids long, doc_ids array<long>, n_tokens array<long>, block binary"
 
 
+@operator
 def write_tokens(
     docs: DataFrame,
     path: str,
@@ -192,13 +251,13 @@ def write_tokens(
                 names=["shard", "first", "n_ids", "doc_ids", "n_tokens", "block"],
             )
 
-        for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(text) + end
+        rows = (whole.slice(a, 1000) for whole in batches for a in range(0, whole.num_rows, 1000))
+        for batch in rows:
+            for name, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist()), strict=True):
                 names.append(name)
-                counts.append(len(ids) // 4)
-                parts.append(ids)
-                size += len(ids) // 4
+                counts.append(len(ids) // 4 + 1)
+                parts += ids, end
+                size += counts[-1]
                 if size >= block_ids:
                     yield block()
                     first, size, names, counts, parts = first + size, 0, [], [], []
@@ -211,6 +270,7 @@ def write_tokens(
     rows.mapInArrow(blocks, FILES).write.option("compression", "zstd").parquet(path)
 
 
+@operator
 def read_tokens(spark: SparkSession, path: str, ids: bool = True) -> DataFrame:
     """Read token files back: doc_id, start, n_tokens, ids_crc32 and, if wanted, the ids.
 
