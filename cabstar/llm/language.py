@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from cabstar.llm.common import stored
+from cabstar.llm.common import operator, stored
 
 #: Size of the hashed n-gram space.
 DIMS_LOG2 = 12
@@ -50,8 +50,8 @@ def ngrams(text: str) -> np.ndarray:
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Rows of counts as TF-IDF vectors of length 1 (square-root term frequency)."""
-    rows = np.sqrt(counts, dtype=np.float32) * idf
+    """Rows of counts as TF-IDF vectors of length 1 (logarithmic term frequency)."""
+    rows = np.log1p(counts, dtype=np.float32) * idf
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
     return rows / np.maximum(norms, 1e-12)
 
@@ -101,6 +101,7 @@ def sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_l
     return rows.join(cut, "lang").where("h <= cut").groupBy("lang", "h").agg(F.min("text").alias("text"))
 
 
+@operator
 def fit(
     labelled: DataFrame,
     id_col: str = "doc_id",
@@ -137,10 +138,14 @@ def fit(
     for gram, n in df.items():
         idf[gram] = np.log((files + 1) / (n + 1)) + 1
 
-    def centres(group: pd.DataFrame) -> pd.DataFrame:
-        counts = np.zeros((len(group), DIMS), np.float32)
-        for i, (gram, n) in enumerate(zip(group["gram"], group["n"], strict=True)):
+    def dense(grams, numbers) -> np.ndarray:
+        counts = np.zeros((len(grams), DIMS), np.float32)
+        for i, (gram, n) in enumerate(zip(grams, numbers, strict=True)):
             counts[i, gram] = n
+        return counts
+
+    def centres(group: pd.DataFrame) -> pd.DataFrame:
+        counts = dense(group["gram"], group["n"])
         order = np.lexsort(counts[:, ::-1].T[-8:])  # not the order in which rows came
         counts = counts[order]
         vectors = weighted(counts, idf)
@@ -158,9 +163,39 @@ def fit(
     for c in np.unique(classes):
         if (classes == c).sum() >= 20:  # too few to tell: nothing of that length is rejected
             floors[c] = SLACK * np.quantile(cosine[classes == c], QUANTILE)
-    return Model([r["lang"] for r in out], np.array([r["centre"] for r in out], np.float32), idf, floors)
+    languages, centroids = [r["lang"] for r in out], np.array([r["centre"] for r in out], np.float32)
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                lang, gram, n = batch.slice(a, 256).columns
+                cosines = weighted(dense(gram.to_pylist(), n.to_pylist()), idf) @ centroids.T
+                own = pa.array(cosines.argmax(axis=1).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([own, lang], names=["centroid", "lang"])
+
+    votes = rows.select("lang", "gram", "n").mapInArrow(nearest, "centroid int, lang string")
+    votes = {(r["centroid"], r["lang"]): r["count"] for r in votes.groupBy("centroid", "lang").count().collect()}
+    keep = sound_centroids(languages, votes)
+    return Model([languages[i] for i in keep], centroids[keep], idf, floors)
+
+
+def sound_centroids(languages: list[str], votes: dict[tuple[int, str], int]) -> list[int]:
+    """Centroids whose language has most of the texts nearest to them.
+
+    Texts labelled wrongly gather in centroids that lie among those of another language;
+    these go. A language keeps at least the centroid that most of its own texts are nearest to.
+    """
+    own = [votes.get((i, x), 0) for i, x in enumerate(languages)]
+    top = [max((n for (c, _), n in votes.items() if c == i), default=0) for i in range(len(languages))]
+    keep = {i for i in range(len(languages)) if own[i] and own[i] == top[i]}
+    for x in set(languages):
+        mine = [i for i, y in enumerate(languages) if x == y]
+        if not keep.intersection(mine):
+            keep.add(max(mine, key=lambda i: own[i]))
+    return sorted(keep)
 
 
+@operator
 def identify(
     docs: DataFrame, model: Model | None, keep: Sequence[str] = ("doc_id",), text_col: str = "text", rows: int = 256
 ) -> DataFrame:
