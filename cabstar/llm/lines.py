@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabstar.llm.common import Memo, map_rows, stored, words_of
+from cabstar.llm.common import Memo, map_rows, operator, stored, words_of
 
 _M = 0x9E3779B97F4A7C15
 _INVERSE = np.uint64(pow(_M, -1, 1 << 64))
@@ -179,6 +179,7 @@ def _verified(links: DataFrame, words: DataFrame) -> DataFrame:
     return map_rows(both, lambda: row, "ok boolean", ("words", "other"), ("key",)).where("ok").select("key").distinct()
 
 
+@operator
 def dedup_lines(
     docs: DataFrame,
     keep: Sequence[str] = (),
@@ -207,10 +208,10 @@ def dedup_lines(
     )
     lines = stored(_lines(docs, least_words, fuzzy_words), "lines")
     order = F.struct("id", "h", "line")
-    first = lines.groupBy("key").agg(F.min(order).alias("first"), F.max(order).alias("last"))
-    first = stored(first, "lines-first")
+    ends = F.min(order).alias("first"), F.max(order).alias("last")
+    first = stored(lines.groupBy("key").agg(*ends, F.first("halves").alias("halves")), "lines-first")
 
-    halves = lines.select("key", F.explode("halves").alias("half"))
+    halves = first.select("key", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z")
     partners = halves.join(shared.select("half"), "half", "left_semi").select("key").distinct()
     places = first.join(partners, "key", "left_semi").select("key", "first.id", "first.h", "first.line")
