@@ -89,7 +89,6 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         decontaminate.contaminated().alias("contaminated"),
-        "spans",
     )
 
 
