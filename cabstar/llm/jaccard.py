@@ -4,8 +4,8 @@ A document is its set of word shingles, hashed to 64 bits. In one global order o
 (rarest first, by a sketch of their counts over all documents), two sets of Jaccard t or
 more share a shingle among the first ``n - ceil(t n) + 1`` of each. Documents with the same
 prefix and size form a group (exact copies always do); groups that share a prefix shingle
-and are close enough in size are pairs; pairs are expanded to members, and the members'
-whole sets are compared.
+and are close enough in size are pairs; pairs are expanded to members. Their counts of shingles by bucket bound
+how many two sets can share; pairs within that bound have their whole sets compared.
 
 The result needs components, not all links within them. So each member is first compared
 with one hub of each of its shingles; after that only pairs whose ends lie in different
@@ -15,7 +15,6 @@ and a large group of near copies costs a few comparisons a member, not one for e
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -25,34 +24,68 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabstar.llm.common import Memo, map_rows, operator, stored
+from cabstar.llm.common import map_rows, operator, stored
 from cabstar.llm.components import components
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: White space as 0, A-Z lower-cased.
+_CHARS = np.array([0 if c == 32 or 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 #: Buckets of the count sketch, and how many of them travel together.
-BUCKETS_LOG2, CHUNK = 20, 4096
-_MIX = [np.uint64(int.from_bytes(hashlib.blake2b(bytes([i]), digest_size=8).digest()) | 1) for i in range(32)]
-_words = Memo(lambda w: xxhash.xxh3_64_intdigest(w))
-
-
-def word_list(text: str | None) -> list[bytes]:
-    """Runs without ASCII white space, A-Z lower-cased."""
-    return text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
+BUCKETS_LOG2, CHUNK = 22, 4096
+#: Buckets that bound the overlap of two sets.
+OVERLAP_LOG2 = 6
+_random = np.random.default_rng(10)
+#: An odd factor for each place in a word; longer words are hashed on their own.
+_PLACES = 64
+_FACTORS = _random.integers(1 << 62, 1 << 63, _PLACES, np.uint64) | np.uint64(1)
+_MIX = _random.integers(1 << 62, 1 << 63, 64, np.uint64) | np.uint64(1)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(32)) * _MIX[62]
+    x = (x ^ x >> np.uint64(29)) * _MIX[63]
+    return x ^ x >> np.uint64(32)
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """Hashes of the runs without ASCII white space, A-Z lower-cased, in order."""
+    chars = _CHARS[np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)]
+    at = np.flatnonzero(chars)  # characters of words
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    first = np.flatnonzero(np.append(True, np.diff(at) > 1))  # where words begin, among these
+    sizes = np.diff(np.append(first, len(at)))
+    place = np.arange(len(at)) - np.repeat(first, sizes)
+    values = chars[at].astype(np.uint64) * _FACTORS[np.minimum(place, _PLACES - 1)]
+    hashes = np.add.reduceat(values, first) + sizes.astype(np.uint64) * _MIX[61]
+    for i in np.flatnonzero(sizes > _PLACES).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(chars[at[first[i]] : at[first[i]] + sizes[i]].tobytes())
+    return _mixed(hashes)
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct hashes of ``size`` words in a row; of all words, if they are fewer."""
-    words = word_list(text)
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    h = word_hashes(text)
+    if not len(h):
+        return h
     k = min(size, len(h))
-    total = np.full(len(h) - k + 1, _MIX[31 - k], np.uint64)
+    total = np.full(len(h) - k + 1, _MIX[60 - k], np.uint64)
     for i in range(k):
         total += h[i : len(h) - k + 1 + i] * _MIX[i]
-    total ^= total >> np.uint64(32)
-    total *= _MIX[20]
-    return np.unique(total ^ total >> np.uint64(29))
+    total = np.sort(_mixed(total))
+    return total[np.append(True, total[1:] != total[:-1])]
+
+
+def overlap_counts(shingles: np.ndarray) -> bytes:
+    """Shingles by bucket, 255 at most (which then says nothing)."""
+    counts = np.bincount(shingles & np.uint64((1 << OVERLAP_LOG2) - 1), minlength=1 << OVERLAP_LOG2)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether rows of bucket counts leave room for the overlap that similar sets must have."""
+    most = np.minimum(a, b).astype(np.int64).sum(axis=1)
+    full = (a == 255).any(axis=1) | (b == 255).any(axis=1)
+    return full | (100 * most >= percent * (n + m - most))
 
 
 def set_id(shingles: np.ndarray) -> int | None:
@@ -139,15 +172,15 @@ def prefixes(docs: DataFrame, text_col: str, levels: bytes, size: int, percent:
         def row(text):
             s = shingle_set(text, size)
             if not len(s):
-                return None, None, None, None
+                return None, None, None, None, None
             rare = np.argsort(level[s >> np.uint64(64 - BUCKETS_LOG2)], kind="stable")
             prefix = s[rare[: prefix_length(len(s), percent)]]
             group = xxhash.xxh3_64_intdigest(prefix.tobytes(), seed=len(s)) - (1 << 63)
-            return set_id(s), len(s), group, prefix.view(np.int64)
+            return set_id(s), len(s), group, prefix.view(np.int64), overlap_counts(s)
 
         return row
 
-    schema = "node long, n long, group long, prefix array<long>"
+    schema = "node long, n long, group long, prefix array<long>, overlap binary"
     return map_rows(docs, rows, schema, (text_col,)).where("node is not null")
 
 
@@ -169,8 +202,22 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, size:
     return found.join(wanted, same, "left_semi").groupBy("node").agg(F.min("packed").alias("packed"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar."""
+    counts = members.groupBy("node").agg(F.first("n").alias("n"), F.first("overlap").alias("overlap"))
+    counted = pairs.join(counts.toDF("a", "n", "counts_a"), "a").join(counts.toDF("b", "m", "counts_b"), "b")
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n, m = (batch.column(i).to_numpy() for i in (2, 3))
+                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(len(n), -1) for i in (4, 5))
+                keep = pa.array(may_be_similar(a, b, n, m, percent))
+                yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(keep)
+
+    counted = counted.select("a", "b", "n", "m", "counts_a", "counts_b").mapInArrow(possible, "a long, b long")
+    pairs = stored(counted, "jaccard-pairs")
+
     a = texts.select(F.col("node").alias("a"), F.col("packed").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("packed").alias("text_b"))
 
@@ -200,7 +247,7 @@ def similar_components(
     text_col: str = "text",
     size: int = 5,
     percent: int = 80,
-    hub_rounds: int = 2,
+    hub_rounds: int = 3,
 ) -> DataFrame:
     """Components of documents linked by Jaccard similarity of their word shingles.
 
@@ -246,11 +293,11 @@ def similar_components(
         return _across(found.select("a", "b").distinct(), comp)
 
     own = inner.select("group", F.col("group").alias("hub"))
-    links = stored(verified(expanded(hubs_of(tokens, 0).union(own), None), texts, size, percent), "jaccard-links")
+    links = stored(verified(expanded(hubs_of(tokens, 0).union(own), None), members, texts, size, percent), "jaccard-links")
     comp = components(links)
     for round_ in range(1, hub_rounds):
         rows = _open_tokens(tokens, member, comp)
-        more = verified(expanded(hubs_of(rows, round_), comp), texts, size, percent)
+        more = verified(expanded(hubs_of(rows, round_), comp), members, texts, size, percent)
         links = stored(_contracted(more, comp).union(comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))), "jaccard-links")
         comp = components(links)
 
@@ -261,7 +308,7 @@ def similar_components(
     pairs = pairs.select("g", "h").distinct().union(own.toDF("g", "h"))
     pairs = pairs.join(member.toDF("g", "a"), "g").join(member.toDF("h", "b"), "h").where("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _contracted(verified(_across(pairs, comp), texts, size, percent), comp)
+    more = _contracted(verified(_across(pairs, comp), members, texts, size, percent), comp)
     comp = components(stored(more.union(comp.toDF("a", "b")), "jaccard-links"))
 
     named = nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
