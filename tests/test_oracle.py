@@ -4,10 +4,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cabstar.plans.oracle_queries import ORACLE
+from cabstar.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 SAMPLE = ["silver_clean", "mart_payment", "dim_date", "fact_trip", "summary_payment", "check_fact_fk",
-          "check_date_join", "report_vendor", "bi_heatmap", "bi_routes", "bi_filtered"]
+          "check_date_join", "report_vendor", "bi_heatmap", "bi_routes", "bi_filtered",
+          "bi_filtered_places", "bi_passenger_group_uncleansed", "report_quality_uncleansed",
+          "reconcile_coalesced_uncleansed", "defect_duplicate_ids", "defect_fact_fk", "defect_date_join",
+          "defect_dim_unique"]
 
 
 @pytest.fixture(scope="module")
@@ -35,8 +40,15 @@ def test_query_matches_oracle(spark, con, name):
     assert ours == theirs
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_warehouse_query_is_registered_and_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", ["defect_null_fk", "defect_fact_fk", "defect_date_join", "defect_duplicate_ids"])
+def test_the_injected_defects_show(con, name):
+    numbers = [v for row in con.execute(entry.oracle_sql()[name]).fetchall() for v in row if isinstance(v, int)]
+    assert any(numbers)
 
 
 def test_entry_smoke(spark):
