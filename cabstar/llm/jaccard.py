@@ -2,9 +2,10 @@
 
 A document is its set of word shingles, hashed to 64 bits. In one global order of shingles
 (rarest first, by a sketch of their counts over all documents), two sets of Jaccard t or
-more share a shingle among the first ``n - ceil(t n) + 1`` of each. Documents with the same
+more share a shingle among the first ``n - ceil(t n) + 1`` of each, and the first one they share
+stands near enough to the front of both to leave room for the rest. Documents with the same
 prefix and size form a group (exact copies always do); groups that share a prefix shingle
-and are close enough in size are pairs; pairs are expanded to members. Their counts of shingles by bucket bound
+in such places are pairs; pairs are expanded to members. Their counts of shingles by bucket bound
 how many two sets can share; pairs within that bound have their whole sets compared.
 
 The result needs components, not all links within them. So each member is first compared
@@ -104,8 +105,14 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
-def _close(n: str, m: str, percent: int):
-    return (100 * F.least(n, m)) >= (percent * F.greatest(n, m))
+def _room(n: str, m: str, at: str, to: str, percent: int):
+    """Whether sets of sizes n and m can be similar if their first common shingle is at these places.
+
+    They share no more than what is left from there on. Of the shingles that two prefixes
+    share the first one passes if the sets are similar, so every similar pair is kept.
+    """
+    left = F.least(F.col(n) - F.col(at), F.col(m) - F.col(to))
+    return (100 + percent) * left >= percent * (F.col(n) + F.col(m))
 
 
 def nodes_and_counts(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -116,7 +123,7 @@ def nodes_and_counts(docs: DataFrame, id_col: str, text_col: str, size: int) ->
         counts = np.zeros(1 << BUCKETS_LOG2, np.uint32)
         names = ["id", "h", "node", "n", "chunk", "counts"]
         seen = False
-        for batch in batches:
+        for batch in (whole.slice(a, 1000) for whole in batches for a in range(0, whole.num_rows, 1000)):
             seen = True
             nodes, sizes, held = [], [], []
             for text in batch.column(2).to_pylist():
@@ -124,8 +131,8 @@ def nodes_and_counts(docs: DataFrame, id_col: str, text_col: str, size: int) ->
                 nodes.append(set_id(s))
                 sizes.append(len(s))
                 held.append(s)
-            all_of = np.concatenate(held) if held else np.zeros(0, np.uint64)
-            counts += np.bincount(all_of >> np.uint64(64 - BUCKETS_LOG2), minlength=len(counts)).astype(np.uint32)
+            bucket, times = np.unique(np.concatenate(held) >> np.uint64(64 - BUCKETS_LOG2), return_counts=True)
+            counts[bucket] += times.astype(np.uint32)
             null = [pa.nulls(len(nodes), pa.int32()), pa.nulls(len(nodes), pa.binary())]
             made = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *made, *null], names=names)
@@ -265,7 +272,7 @@ def similar_components(
     members = stored(prefixes(docs, text_col, levels, size, percent), "jaccard-prefixes")
     member = members.select("group", "node").distinct()
     groups = members.groupBy("group").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    tokens = groups.select(F.explode("prefix").alias("token"), "group", "n")
+    tokens = groups.select("group", "n", F.posexplode("prefix").alias("at", "token"))
 
     # prefix shingles of two groups or more, with one hub each; the others link nothing
     of_token = tokens.groupBy("token").agg(F.min("group").alias("hub"), F.max("group").alias("other"))
@@ -276,15 +283,17 @@ def similar_components(
     wanted = nodes.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id"))
     texts = stored(_texts(docs, id_col, text_col, wanted, size), "jaccard-texts")
     member = stored(member.join(grouped, "group", "left_semi"), "jaccard-members")
-    sizes = tokens.select("group", "n").distinct()
 
     def hubs_of(rows: DataFrame, round_: int) -> DataFrame:
-        """Group and hub group of every token, close in size; a hub of its own for each token and round."""
-        rank = F.struct(F.xxhash64("token", "group", F.lit(round_)), "group") if round_ else F.struct("group")
-        hub = rows.groupBy("token").agg(F.min(rank)["group"].alias("hub"))
-        near = rows.drop("hub").join(hub, "token").where("group <> hub").select("group", "hub", "n").distinct()
-        near = near.join(sizes.select(F.col("group").alias("hub"), F.col("n").alias("m")), "hub")
-        return near.where(_close("n", "m", percent)).select("group", "hub")
+        """Group and hub group of every token; a hub of its own for each token and round.
+
+        The first round's hub has the token nearest to its front, which leaves most room.
+        """
+        rank = F.xxhash64("token", "group", F.lit(round_)) if round_ else F.col("at") / F.col("n")
+        hub = F.min(F.struct(rank.alias("rank"), F.col("group").alias("hub"), F.col("n").alias("m"), F.col("at").alias("to")))
+        hub = rows.groupBy("token").agg(hub.alias("h")).select("token", "h.hub", "h.m", "h.to")
+        near = rows.drop("hub").join(hub, "token").where("group <> hub")
+        return near.where(_room("n", "m", "at", "to", percent)).select("group", "hub").distinct()
 
     def expanded(pairs: DataFrame, comp: DataFrame | None) -> DataFrame:
         """Members of the first group with the smallest member of the hub's."""
@@ -302,9 +311,9 @@ def similar_components(
         comp = components(links)
 
     # all pairs that are left: both ends share a prefix shingle or group, in different components
-    rows = _open_tokens(tokens, member, comp).select("token", "group", "n")
-    left, right = rows.toDF("token", "g", "n"), rows.toDF("token", "h", "m")
-    pairs = left.join(right, "token").where(F.col("g") < F.col("h")).where(_close("n", "m", percent))
+    rows = _open_tokens(tokens, member, comp).select("token", "group", "n", "at")
+    left, right = rows.toDF("token", "g", "n", "at"), rows.toDF("token", "h", "m", "to")
+    pairs = left.join(right, "token").where(F.col("g") < F.col("h")).where(_room("n", "m", "at", "to", percent))
     pairs = pairs.select("g", "h").distinct().union(own.toDF("g", "h"))
     pairs = pairs.join(member.toDF("g", "a"), "g").join(member.toDF("h", "b"), "h").where("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
