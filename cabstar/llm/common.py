@@ -74,12 +74,14 @@ def map_rows(
         for whole in it:
             for first in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(first, _ROWS)
-                kept, given = batch.columns[: len(keep)], batch.columns[len(keep) :]
-                out = zip(*map(row, *(c.to_pylist() for c in given)), strict=True)
+                kept = batch.columns[: len(keep)]
+                out = zip(*map(row, *(batch.column(i).to_pylist() for i in places)), strict=True)
                 made = [pa.array(c, f.type) for c, f in zip(out, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=[*keep, *new.names])
 
-    given = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(inputs)]
+    more = [c for c in inputs if c not in keep]  # a kept input travels once
+    places = [keep.index(c) if c in keep else len(keep) + more.index(c) for c in inputs]
+    given = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(more)]
     fields = StructType([StructField(c, df.schema[c].dataType) for c in keep] + new.fields)
     return df.select(*(F.col(f"`{c}`") for c in keep), *given).mapInArrow(batches, fields)
 

@@ -79,7 +79,7 @@ class Scanner:
         return _union(ranges), items
 
 
-def _scan(docs: DataFrame, items: list[tuple[str, str]], window: int, last: bool, keep: Sequence[str]) -> DataFrame:
+def _scan(docs: DataFrame, items: list[tuple[str, str]], window: int, last: bool, keep: Sequence[str], text: str) -> DataFrame:
     """One pass; unless it is the last the text and the covered ranges stay for the next."""
 
     def rows():
@@ -101,7 +101,8 @@ def _scan(docs: DataFrame, items: list[tuple[str, str]], window: int, last: bool
         return row
 
     schema = SCHEMA if last else "_ranges array<struct<a:int,b:int>>, _names array<string>"
-    return map_rows(docs, rows, schema, ("_text", "_ranges", "_names"), keep if last else (*keep, "_text"))
+    kept = keep if last or text in keep else (*keep, text)
+    return map_rows(docs, rows, schema, (text, "_ranges", "_names"), kept)
 
 
 def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -139,16 +140,17 @@ def contamination(
     items = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(item_text_col).alias("t"))
     size = items.agg(F.sum(F.length("t"))).first()[0] or 0
     passes = max(1, -(-size // automaton_chars))
+    text = text_col if text_col in keep else "_text"
     state = docs.select(
         *keep,
-        F.col(text_col).alias("_text"),
+        *([] if text_col in keep else [F.col(text_col).alias(text)]),
         F.lit(None).cast("array<struct<a:int,b:int>>").alias("_ranges"),
         F.lit(None).cast("array<string>").alias("_names"),
     )
     for k in range(passes):
         part = items if passes == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(passes)) == k)
         known = [(r["i"], r["t"]) for r in part.where("t is not null").distinct().collect()]
-        state = _scan(state, known, window, k == passes - 1, keep)
+        state = _scan(state, known, window, k == passes - 1, keep, text)
         if k < passes - 1:
             state = stored(state, "decontaminate")
     return state

@@ -207,12 +207,13 @@ def identify(
     """
     new = ("lang_pred", "score", "rejected")
     keep = [c for c in keep if c not in new]
+    place = keep.index(text_col) if text_col in keep else len(keep)  # a kept text travels once
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a in range(0, whole.num_rows, rows):
                 batch = whole.slice(a, rows)
-                texts = batch.column(len(keep)).to_pylist()
+                texts = batch.column(place).to_pylist()
                 lang, score = ["und"] * len(texts), np.zeros(len(texts))
                 rejected = np.ones(len(texts), bool)
                 at = [i for i, t in enumerate(texts) if model is not None and has_letter(t)]
@@ -225,7 +226,8 @@ def identify(
 
     fields = [StructField(c, docs.schema[c].dataType) for c in keep]
     fields += StructType.fromDDL("lang_pred string, score double, rejected boolean").fields
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(predict, StructType(fields))
+    text = [] if text_col in keep else [F.col(text_col).alias("_text")]
+    return docs.select(*keep, *text).mapInArrow(predict, StructType(fields))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
