@@ -60,7 +60,7 @@ class ForcedBoundaryBpe:
         self.names = {i: t.encode() for t, i in self.vocab.items()} | {i: t.encode() for i, t in added.items()}
         self.fragments = Memo(self._fragment, limit=50_000)
         self.words = Memo(self._word, limit=50_000)
-        self.plain_words = Memo(self._plain_word, limit=150_000)
+        self.plain_words = Memo(self._plain_word, limit=80_000)
         self.chunks = Memo(self._chunk, limit=50_000)
         self.letters = dict(enumerate(byte_letters()))
         splits = [p["pattern"].get("Regex") for p in spec["pre_tokenizer"].get("pretokenizers", ()) if "pattern" in p]

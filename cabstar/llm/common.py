@@ -78,6 +78,7 @@ def map_rows(
                 out = zip(*map(row, *(batch.column(i).to_pylist() for i in places)), strict=True)
                 made = [pa.array(c, f.type) for c, f in zip(out, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=[*keep, *new.names])
+        pa.default_memory_pool().release_unused()  # the worker stays for later stages
 
     more = [c for c in inputs if c not in keep]  # a kept input travels once
     places = [keep.index(c) if c in keep else len(keep) + more.index(c) for c in inputs]
