@@ -89,27 +89,33 @@ def _unpack(packed: bytes | None) -> str | None:
 
 
 def _lines(docs: DataFrame, least: int, fuzzy: int) -> DataFrame:
-    """id, h, line (number), key, halves of every line of ``least`` words or more."""
+    """id, h, line (number), key, halves, short of every line that has a word.
+
+    ``short`` lines are those of fewer than ``least`` words.
+    """
     kind = docs.schema["id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, number, key, halves = [], [], [], []
+            at, number, key, halves, short = [], [], [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):
                 for k, line in enumerate(text.split("\n") if text else ()):
                     words = words_of(line)
-                    if len(words) >= least:
+                    if words:
                         at.append(i)
                         number.append(k)
                         key.append(_hash(words))
-                        halves.append(list(half_keys(words)) if len(words) >= fuzzy - 1 else [])
+                        short.append(len(words) < least)
+                        halves.append(list(half_keys(words)) if len(words) >= max(least, fuzzy - 1) else [])
             at = pa.array(at, pa.int64())
             made = [pa.array(number, pa.int32()), pa.array(key, pa.int64()), pa.array(halves, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), *made], names=["id", "h", "line", "key", "halves"]
+                [batch.column(0).take(at), batch.column(1).take(at), *made, pa.array(short, pa.bool_())],
+                names=["id", "h", "line", "key", "halves", "short"],
             )
 
-    return docs.select("id", "h", "text").mapInArrow(rows, f"id {kind}, h long, line int, key long, halves array<long>")
+    schema = f"id {kind}, h long, line int, key long, halves array<long>, short boolean"
+    return docs.select("id", "h", "text").mapInArrow(rows, schema)
 
 
 def _with_lines(docs: DataFrame, wanted: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
@@ -194,12 +200,13 @@ def dedup_lines(
     their place. A line of ``least_words`` or more is removed if any earlier line is equal
     or, where the longer one has ``fuzzy_words`` or more, one word apart; whether that line
     is itself removed makes no difference. Shorter lines stay. Returns for each input row
-    the id, ``keep``, the text without those lines, ``n_lines``, ``n_removed`` and
-    ``n_left`` (remaining lines of ``least_words`` or more). Null texts stay null with 0
+    the id, ``keep``, the text without those lines, ``n_lines``, ``n_removed``, ``n_left``
+    (remaining lines of ``least_words`` or more) and ``n_new`` (remaining lines of any
+    word that equal no earlier line of the corpus). Null texts stay null with 0
     lines; null ids come first; rows equal in id and text are the same document and get
     the same result.
     """
-    keep = [c for c in keep if c not in (id_col, text_col, "n_lines", "n_removed", "n_left")]
+    keep = [c for c in keep if c not in (id_col, text_col, "n_lines", "n_removed", "n_left", "n_new")]
     docs = docs.select(
         F.col(id_col).alias("id"),
         F.xxhash64(text_col).alias("h"),
@@ -225,23 +232,25 @@ def dedup_lines(
 
     marks = first.join(near, "key", "left").where("near or first <> last").select("key", "first", "near")
     removed = lines.join(marks, "key").where(F.coalesce("near", F.lit(False)) | (order > F.col("first")))
-    removed = removed.select("id", "h", F.col("line").alias("x"))
+    # lines from 0 on; a short line, which stays, as -1 and below
+    removed = removed.select("id", "h", F.when(F.col("short"), -1 - F.col("line")).otherwise(F.col("line")).alias("x"))
 
     def rows_():
         def row(packed, xs):
             text = _unpack(packed)
             if not text:
-                return text, 0, 0, 0
-            gone, all_lines = set(xs or ()), text.split("\n")
+                return text, 0, 0, 0, 0
+            gone, all_lines = {x for x in xs or () if x >= 0}, text.split("\n")
             left = [x for k, x in enumerate(all_lines) if k not in gone] if gone else all_lines
-            full = sum(len(words_of(x)) >= least_words for x in left)
-            return "\n".join(left), len(all_lines), len(all_lines) - len(left), full
+            sizes = [len(words_of(x)) for x in left]
+            full, new = sum(n >= least_words for n in sizes), sum(n > 0 for n in sizes) - (len(xs or ()) - len(gone))
+            return "\n".join(left), len(all_lines), len(all_lines) - len(left), full, new
 
         return row
 
     kept = [f"keep_{i}" for i in range(len(keep))]
     found = _with_lines(docs, removed, kept, "left")
-    schema = "text string, n_lines long, n_removed long, n_left long"
+    schema = "text string, n_lines long, n_removed long, n_left long, n_new long"
     found = map_rows(found, rows_, schema, ("packed", "xs"), ("id", *kept))
     names = {"id": id_col, "text": text_col, **dict(zip(kept, keep, strict=True))}
     return found.select(*(F.col(c).alias(names.get(c, c)) for c in found.columns))

@@ -101,3 +101,11 @@ def test_repeated_rows_and_empty_input(spark):
     assert near(spark, spark.createDataFrame(rows, schema), SF).count() == 2
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, spark.createDataFrame([], schema), SF).count() == 0
+
+
+def test_documents_of_new_single_words_stay(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    texts = ["words of the day\nand some more", "words of the day\napple\n日本語の文章です\npear", "words of the day\nPear", "words of the day\n--"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], schema)
+    got = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, SF).collect()}
+    assert got == {0: texts[0], 1: "apple\n日本語の文章です\npear"}
