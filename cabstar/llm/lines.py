@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 
 from cabstar.llm.common import Memo, map_rows, operator, stored, words_of
 
+#: Lines of fewer words than asked are short headings only below so many bytes (five Chinese or Japanese characters).
+SHORT_BYTES = 16
+
 _M = 0x9E3779B97F4A7C15
 _INVERSE = np.uint64(pow(_M, -1, 1 << 64))
 _word = Memo(lambda w: xxhash.xxh3_64_intdigest(w))
@@ -91,7 +94,7 @@ def _unpack(packed: bytes | None) -> str | None:
 def _lines(docs: DataFrame, least: int, fuzzy: int) -> DataFrame:
     """id, h, line (number), key, halves, short of every line that has a word.
 
-    ``short`` lines are those of fewer than ``least`` words.
+    ``short`` lines are those of fewer than ``least`` words and ``SHORT_BYTES`` bytes.
     """
     kind = docs.schema["id"].dataType.simpleString()
 
@@ -105,7 +108,7 @@ def _lines(docs: DataFrame, least: int, fuzzy: int) -> DataFrame:
                         at.append(i)
                         number.append(k)
                         key.append(_hash(words))
-                        short.append(len(words) < least)
+                        short.append(len(words) < least and sum(map(len, words)) < SHORT_BYTES)
                         halves.append(list(half_keys(words)) if len(words) >= max(least, fuzzy - 1) else [])
             at = pa.array(at, pa.int64())
             made = [pa.array(number, pa.int32()), pa.array(key, pa.int64()), pa.array(halves, pa.list_(pa.int64()))]
@@ -197,9 +200,11 @@ def dedup_lines(
     """Remove lines that repeat an earlier line of the corpus, up to one word.
 
     Lines (separated by newlines) are in order of the document's id, the text's hash and
-    their place. A line of ``least_words`` or more is removed if any earlier line is equal
-    or, where the longer one has ``fuzzy_words`` or more, one word apart; whether that line
-    is itself removed makes no difference. Shorter lines stay. Returns for each input row
+    their place. A line is removed if any earlier line is equal or, where the longer one
+    has ``fuzzy_words`` or more, one word apart; whether that line is itself removed makes
+    no difference. Lines without words stay, and those of fewer than ``least_words`` whose
+    words have fewer than ``SHORT_BYTES`` bytes (a sentence without spaces is one word, but
+    is not short); with ``least_words`` 1 none is exempt. Returns for each input row
     the id, ``keep``, the text without those lines, ``n_lines``, ``n_removed``, ``n_left``
     (remaining lines of ``least_words`` or more) and ``n_new`` (remaining lines of any
     word that equal no earlier line of the corpus). Null texts stay null with 0

@@ -30,7 +30,7 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    found = lines.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"), least_words=1)
     return found.select("doc_id", "n_lines", "n_removed", "n_left", F.sha2(F.col("text"), 256).alias("text_sha256"))
 
 

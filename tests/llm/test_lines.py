@@ -95,3 +95,14 @@ def test_many_lines_one_word_apart(spark):
 def test_query(spark):
     rows = op2_line_dedup(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and sum(r.n_removed for r in rows) > 0
+
+
+def test_lines_of_one_word(spark, tmp_path):
+    long = ["これは空白のない一つの長い文です。", "x" * 70, "Heading"]
+    rows = [(1, "\n".join(long)), (2, "\n".join([*long, "Other", "--"])), (3, "heading!\n--\n" + long[1])]
+    docs = spark.createDataFrame(rows, DOC)
+    got = {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()}
+    assert got == {1: rows[0][1], 2: "Heading\nOther\n--", 3: "heading!\n--"}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_removed, r.n_left) for r in op2_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: (0, 3), 2: (3, 1), 3: (2, 0)}
