@@ -76,6 +76,21 @@ class Model:
         return [self.languages[i] for i in best], score, score < self.floors[classes]
 
 
+def length_floors(classes: np.ndarray, cosine: np.ndarray, enough: int = 20) -> np.ndarray:
+    """Least cosine that is not rejected, by length class; 0 if no class has ``enough`` texts.
+
+    A class of fewer texts has the floor of the next shorter one with enough. Below all of
+    these the floor falls with the square root of the length, as cosines of short texts do.
+    """
+    full = [c for c in np.unique(classes) if (classes == c).sum() >= enough]
+    floors = np.zeros(40)
+    for i, c in enumerate(full):
+        floors[c:] = SLACK * np.quantile(cosine[classes == c], QUANTILE)
+        if i == 0:
+            floors[:c] = floors[c] * np.sqrt(0.5) ** np.arange(c, 0, -1)
+    return floors
+
+
 def kmeans(rows: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
     """Spherical k-means; the first centres are farthest from those before."""
     mean = rows.mean(axis=0)
@@ -159,10 +174,7 @@ def fit(
     out = sorted(rows.groupBy("lang").applyInPandas(centres, schema).collect(), key=lambda r: (r["lang"], r["centre"]))
     classes = np.concatenate([r["class"] for r in out]).astype(int)
     cosine = np.concatenate([r["cosine"] for r in out])
-    floors = np.zeros(40)
-    for c in np.unique(classes):
-        if (classes == c).sum() >= 20:  # too few to tell: nothing of that length is rejected
-            floors[c] = SLACK * np.quantile(cosine[classes == c], QUANTILE)
+    floors = length_floors(classes, cosine)
     languages, centroids = [r["lang"] for r in out], np.array([r["centre"] for r in out], np.float32)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

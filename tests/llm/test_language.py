@@ -53,3 +53,19 @@ def test_fit_is_repeatable_and_handles_nothing(spark, model):
     assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
     few = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate([("aaa", "l1"), ("bbb", "l2"), (None, "l3"), ("ccc", None)])], "doc_id long, text string, lang string")
     assert sorted(language.fit(few).languages) == ["l1", "l2"]
+
+
+def test_sparse_lengths_have_a_floor(spark, model):
+    assert (model.floors > 0).all()
+    texts = ["x" * 200_000, "zqxj kvwq zzkx qqjv xkzj wvqk " * 8_000, "qq zx jq vk"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.rejected for r in language.identify(docs, model).collect()] == [True] * 3
+
+
+def test_short_cuts_of_labelled_texts_pass(spark, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where(language.held_out()).collect()
+    for words in (1, 2, 4, 8):
+        cuts = [(r.doc_id, " ".join((r.text or "").split()[20 : 20 + words])) for r in docs]
+        cuts = [x for x in cuts if len(x[1].split()) == words and language.has_letter(x[1])]
+        rows = language.identify(spark.createDataFrame(cuts, "doc_id long, text string"), model).collect()
+        assert sum(r.rejected for r in rows) <= 0.02 * len(rows), words
