@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from cabstar.llm.common import map_rows, operator, stored
 from cabstar.llm.components import components
 
-#: White space as 0, A-Z lower-cased.
-_CHARS = np.array([0 if c == 32 or 9 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
+#: A-Z lower-cased, and which bytes belong to words (all but white space).
+_CHARS = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
+_IN_WORD = np.array([not (c == 32 or 9 <= c <= 13) for c in range(256)])
 #: Buckets of the count sketch, and how many of them travel together.
 BUCKETS_LOG2, CHUNK = 22, 4096
 #: Buckets that bound the overlap of two sets.
@@ -49,8 +50,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(text: str | None) -> np.ndarray:
     """Hashes of the runs without ASCII white space, A-Z lower-cased, in order."""
-    chars = _CHARS[np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)]
-    at = np.flatnonzero(chars)  # characters of words
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    chars, at = _CHARS[raw], np.flatnonzero(_IN_WORD[raw])  # at: characters of words
     if not len(at):
         return np.zeros(0, np.uint64)
     first = np.flatnonzero(np.append(True, np.diff(at) > 1))  # where words begin, among these

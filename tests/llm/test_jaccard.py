@@ -90,3 +90,8 @@ def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in op10_jaccard(spark, sf).collect()), key=str)
     assert got == brute(docs, 3, 90)
+
+
+def test_nul_is_a_character_of_words(spark):
+    docs = [(1, "a\x00b c"), (2, "a b c"), (3, "A\x00B  c"), (4, "\x00"), (5, "\x00\x00"), (6, "x" * 70 + "\x00y"), (7, "\x00a")]
+    assert run(spark, docs, 3, 90) == brute(docs, 3, 90)
