@@ -331,7 +331,7 @@ def similar_components(
         "h",
         F.col("n").alias("n_shingles"),
         F.coalesce("least", "id").alias("component_id"),
-        F.coalesce(own, F.lit(True)).alias("stays"),
+        F.when(F.col("node").isNull(), True).otherwise(own).alias("stays"),
     )
 
 

@@ -95,3 +95,9 @@ def test_query(spark):
 def test_nul_is_a_character_of_words(spark):
     docs = [(1, "a\x00b c"), (2, "a b c"), (3, "A\x00B  c"), (4, "\x00"), (5, "\x00\x00"), (6, "x" * 70 + "\x00y"), (7, "\x00a")]
     assert run(spark, docs, 3, 90) == brute(docs, 3, 90)
+
+
+def test_one_of_each_keeps_documents_without_words(spark):
+    rows = [(5, ""), (6, None), (7, " "), (8, "some words"), (9, "Some words"), (None, None)]
+    kept = jaccard.one_of_each(spark.createDataFrame(rows, DOC)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([*rows[:4], rows[5]], key=str)
