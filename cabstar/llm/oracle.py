@@ -122,8 +122,33 @@ SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(COALESCE(c.n, 0) AS
   COALESCE(c.n, 0) > 0 AND 20 * COALESCE(c.n, 0) >= len(words) AS contaminated
 FROM docs d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN named m ON d.doc_id = m.doc_id"""
 
+RANKED = rf"""WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id, {_words('text')} AS words FROM documents
+), texts AS (SELECT d, doc_id, len(words) AS n, words FROM docs WHERE len(words) > 0),
+total AS (SELECT COUNT(*) AS docs, CAST(SUM(n) AS BIGINT) AS length FROM texts),
+items AS (
+  SELECT item, item_id, unnest(list_distinct({_words('text')})) AS term
+  FROM (SELECT row_number() OVER () AS item, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark))
+), held AS (
+  SELECT d, doc_id, n, term, COUNT(*) AS tf
+  FROM (SELECT d, doc_id, n, unnest(words) AS term FROM texts) WHERE term IN (SELECT term FROM items)
+  GROUP BY d, doc_id, n, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+  FROM held, total GROUP BY term
+), scores AS (
+  SELECT item, item_id, doc_id, d,
+    CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length)))) AS BIGINT) AS score
+  FROM held JOIN items USING (term) JOIN weights USING (term), total GROUP BY item, item_id, doc_id, d
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
 ORACLE: dict[str, str] = {
     "op3_url_filter": URLS,
     "op5_licences": LICENCES,
     "op9_decontaminate": DECONTAMINATION,
+    "op13_lexical": RANKED,
 }

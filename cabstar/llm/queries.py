@@ -16,11 +16,14 @@ from cabstar.llm import (
     language,
     licences,
     lines,
+    ranked,
+    shards,
     simple8b,
+    spelling,
     urls,
     wordpiece,
 )
-from cabstar.llm.common import table
+from cabstar.llm.common import stored, table
 from cabstar.session import checkpoint_dir
 
 
@@ -98,6 +101,32 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/shards-{uuid.uuid4().hex}"
+    shards.write_shards(docs, path, shards=8)
+    text = F.coalesce("record.text", F.lit(""))
+    return shards.read_shards(spark, path, docs.schema).select(
+        "record.doc_id",
+        shards.record_size(text).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return spelling.spelling_forms(stored(spelling.word_counts(docs, noise=97), "spelling-words"))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark")
+    return ranked.rank_documents(docs, items, k=50)
+
+
 QUERIES = {
     "op1_nearest": op1_nearest,
     "op2_line_dedup": op2_line_dedup,
@@ -109,4 +138,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
     "op10_jaccard": op10_jaccard,
+    "op11_shards": op11_shards,
+    "op12_spelling": op12_spelling,
+    "op13_lexical": op13_lexical,
 }
