@@ -42,24 +42,27 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-#: Folders that materialize() has written inside scratch_scope().
-_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+#: Folders that materialize() has written inside each open scratch_scope(), the innermost last.
+_scratch: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete, at the end, the intermediates written inside; their frames must not outlive it."""
-    token = _scratch.set([])
+    """Delete, at the end, the intermediates written inside; their frames must not outlive it.
+
+    Those written as ``lasting`` stay until the scope around this one ends, if there is one.
+    """
+    token = _scratch.set((*_scratch.get(), []))
     try:
         yield
     finally:
-        for folder in _scratch.get():
+        for folder in _scratch.get()[-1]:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
         _scratch.reset(token)
 
 
-def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, label: str = "stage", lasting: bool = False) -> DataFrame:
     """Write an intermediate to the shared checkpoint folder and read it back.
 
     Cuts lineage like ``checkpoint()`` but in one job (a reliable RDD checkpoint
@@ -68,8 +71,9 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/cabstar-{label}-{uuid.uuid4().hex}"
-    if (scope := _scratch.get()) is not None:
-        scope.append(path)
+    scopes = _scratch.get()[: -1 if lasting else None]
+    if scopes:
+        scopes[-1].append(path)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
 
