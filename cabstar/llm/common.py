@@ -41,9 +41,12 @@ def operator(function: Callable) -> Callable:
     return run
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage: write to the cluster's shared checkpoint folder and read back."""
-    return materialize(df, f"llm-{label}")
+def stored(df: DataFrame, label: str, lasting: bool = False) -> DataFrame:
+    """Cut lineage: write to the cluster's shared checkpoint folder and read back.
+
+    Inside ``scratch_scope`` the table is deleted when the scope ends, unless it is ``lasting``.
+    """
+    return materialize(df, f"llm-{label}", lasting)
 
 
 def words_of(text: str | None) -> list[bytes]:

@@ -16,17 +16,18 @@ and a large group of near copies costs a few comparisons a member, not one for e
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabstar.llm.common import map_rows, operator, stored
 from cabstar.llm.components import components
+from cabstar.sources.sinks import scratch_scope
 
 #: A-Z lower-cased, and which bytes belong to words (all but white space).
 _CHARS = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
@@ -36,6 +37,8 @@ BUCKETS_LOG2, CHUNK = 22, 4096
 #: Buckets that bound the overlap of two sets.
 OVERLAP_LOG2 = 6
 _random = np.random.default_rng(10)
+#: Nodes whose ids (16 bytes each) are broadcast to find their texts; beyond that texts are shuffled by id.
+SENT_NODES = 1 << 20
 #: An odd factor for each place in a word; longer words are hashed on their own.
 _PLACES = 64
 _FACTORS = _random.integers(1 << 62, 1 << 63, _PLACES, np.uint64) | np.uint64(1)
@@ -192,26 +195,28 @@ def prefixes(docs: DataFrame, text_col: str, levels: bytes, size: int, percent:
     return map_rows(docs, rows, schema, (text_col,)).where("node is not null")
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame, size: int) -> DataFrame:
-    """Compressed texts of the wanted nodes (id, node), one for each node."""
+def _texts(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Compressed texts of the nodes of ``pairs``, one for each node; no other text is moved."""
+    one = F.min(F.struct("id", "h")).alias("one")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = stored(nodes.join(ends, "node").groupBy("node").agg(one).select("node", "one.*"), "jaccard-wanted")
+    rows = wanted.select(F.col("node"), F.col("id").alias("id_"), F.col("h").alias("h_"))
+    rows = F.broadcast(rows) if wanted.count() <= SENT_NODES else rows
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    found = texts.join(rows, F.col("id").eqNullSafe(F.col("id_")) & (F.col("h") == F.col("h_")))
 
-    def rows():
+    def packed():
         pack = zstandard.ZstdCompressor(3).compress
+        return lambda text: (pack(text.encode("utf-8", "surrogatepass")),)
 
-        def row(text):
-            node = set_id(shingle_set(text, size))
-            return node, pack(text.encode("utf-8", "surrogatepass")) if node is not None else None
-
-        return row
+    found = map_rows(found, packed, "packed binary", ("text",), ("node",))
+    return stored(found.groupBy("node").agg(F.min("packed").alias("packed")), "jaccard-texts")
 
-    found = map_rows(docs, rows, "node long, packed binary", (text_col,), (id_col,)).withColumnRenamed(id_col, "id")
-    found = found.where("node is not null")
-    same = [found["id"].eqNullSafe(wanted["id"]), found["node"] == wanted["node"]]
-    return found.join(wanted, same, "left_semi").groupBy("node").agg(F.min("packed").alias("packed"))
 
-
-def verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar."""
+def verified(
+    pairs: DataFrame, members: DataFrame, texts_of: Callable[[DataFrame], DataFrame], size: int, percent: int
+) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar; ``texts_of(pairs)`` has the texts of their nodes."""
     counts = members.groupBy("node").agg(F.first("n").alias("n"), F.first("overlap").alias("overlap"))
     counted = pairs.join(counts.toDF("a", "n", "counts_a"), "a").join(counts.toDF("b", "m", "counts_b"), "b")
 
@@ -226,6 +231,7 @@ def verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, size: int,
     counted = counted.select("a", "b", "n", "m", "counts_a", "counts_b").mapInArrow(possible, "a long, b long")
     pairs = stored(counted, "jaccard-pairs")
 
+    texts = texts_of(pairs)
     a = texts.select(F.col("node").alias("a"), F.col("packed").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("packed").alias("text_b"))
 
@@ -248,25 +254,8 @@ def verified(pairs: DataFrame, members: DataFrame, texts: DataFrame, size: int,
     return found.where("ok").select("a", "b")
 
 
-@operator
-def similar_components(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    size: int = 5,
-    percent: int = 80,
-    hub_rounds: int = 3,
-) -> DataFrame:
-    """Components of documents linked by Jaccard similarity of their word shingles.
-
-    Two documents link when ``100 * |intersection| >= percent * |union|`` of their sets of
-    ``size`` words in a row (of all words, if they are fewer). Returns a row for each input
-    row: the id, ``h`` (hash of its text), ``n_shingles``, ``component_id`` (smallest id
-    reachable by links) and ``stays`` (whether the row is the one of its component with the
-    smallest id, then hash). Null texts and texts without words have 0 shingles and their
-    own id, and stay. Rows of equal id are separate documents; a null id is never the
-    smallest of others.
-    """
+def _named(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int, hub_rounds: int) -> DataFrame:
+    """id, h, node, n and comp (a node of the component, the same for all of it) of each document."""
     nodes = stored(nodes_and_counts(docs, id_col, text_col, size), "jaccard-nodes")
     levels = rarity(nodes)
     nodes = nodes.where("chunk is null").select("id", "h", "node", "n")
@@ -275,54 +264,70 @@ def similar_components(
     groups = members.groupBy("group").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     tokens = groups.select("group", "n", F.posexplode("prefix").alias("at", "token"))
 
-    # prefix shingles of two groups or more, with one hub each; the others link nothing
-    of_token = tokens.groupBy("token").agg(F.min("group").alias("hub"), F.max("group").alias("other"))
-    tokens = stored(tokens.join(of_token.where("hub <> other").select("token", "hub"), "token"), "jaccard-tokens")
+    # prefix shingles of two groups or more; the others link nothing
+    of_token = tokens.groupBy("token").count().where("count > 1").select("token")
+    tokens = stored(tokens.join(of_token, "token"), "jaccard-tokens")
     inner = member.groupBy("group").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
     grouped = tokens.select("group").union(inner.select("group")).distinct()
-    wanted = member.join(grouped, "group", "left_semi").select("node").distinct()
-    wanted = nodes.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id"))
-    texts = stored(_texts(docs, id_col, text_col, wanted, size), "jaccard-texts")
     member = stored(member.join(grouped, "group", "left_semi"), "jaccard-members")
+    own = inner.select("group", F.col("group").alias("hub"))
 
-    def hubs_of(rows: DataFrame, round_: int) -> DataFrame:
-        """Group and hub group of every token; a hub of its own for each token and round.
-
-        The first round's hub has the token nearest to its front, which leaves most room.
-        """
-        rank = F.xxhash64("token", "group", F.lit(round_)) if round_ else F.col("at") / F.col("n")
-        hub = F.min(F.struct(rank.alias("rank"), F.col("group").alias("hub"), F.col("n").alias("m"), F.col("at").alias("to")))
-        hub = rows.groupBy("token").agg(hub.alias("h")).select("token", "h.hub", "h.m", "h.to")
-        near = rows.drop("hub").join(hub, "token").where("group <> hub")
-        return near.where(_room("n", "m", "at", "to", percent)).select("group", "hub").distinct()
+    def similar_pairs(pairs: DataFrame) -> DataFrame:
+        return verified(pairs, members, lambda found: _texts(docs, id_col, text_col, nodes, found), size, percent)
 
-    def expanded(pairs: DataFrame, comp: DataFrame | None) -> DataFrame:
+    def expanded(pairs: DataFrame) -> DataFrame:
         """Members of the first group with the smallest member of the hub's."""
         centre = member.groupBy("group").agg(F.min("node").alias("b")).withColumnRenamed("group", "hub")
         found = pairs.join(member.withColumnRenamed("node", "a"), "group").join(centre, "hub").where("a <> b")
-        return _across(found.select("a", "b").distinct(), comp)
+        return found.select("a", "b").distinct()
 
-    own = inner.select("group", F.col("group").alias("hub"))
-    links = stored(verified(expanded(hubs_of(tokens, 0).union(own), None), members, texts, size, percent), "jaccard-links")
+    rows = tokens.withColumns({"low": F.lit(None).cast("long"), "high": F.lit(None).cast("long")})
+    links = stored(similar_pairs(expanded(_hubs(rows, 0, percent).union(own))), "jaccard-links")
     comp = components(links)
     for round_ in range(1, hub_rounds):
-        rows = _open_tokens(tokens, member, comp)
-        more = verified(expanded(hubs_of(rows, round_), comp), members, texts, size, percent)
-        links = stored(_contracted(more, comp).union(comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))), "jaccard-links")
+        rows, own = _open(tokens, inner, member, comp)
+        pairs = expanded(_hubs(rows, round_, percent).union(own.select("group", F.col("group").alias("hub"))))
+        more = _contracted(similar_pairs(_across(pairs, comp)), comp)
+        links = stored(more.union(comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))), "jaccard-links")
         comp = components(links)
 
     # all pairs that are left: both ends share a prefix shingle or group, in different components
-    rows = _open_tokens(tokens, member, comp).select("token", "group", "n", "at")
-    left, right = rows.toDF("token", "g", "n", "at"), rows.toDF("token", "h", "m", "to")
-    pairs = left.join(right, "token").where(F.col("g") < F.col("h")).where(_room("n", "m", "at", "to", percent))
-    pairs = pairs.select("g", "h").distinct().union(own.toDF("g", "h"))
-    pairs = pairs.join(member.toDF("g", "a"), "g").join(member.toDF("h", "b"), "h").where("a <> b")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _contracted(verified(_across(pairs, comp), members, texts, size, percent), comp)
+    rows, own = _open(tokens, inner, member, comp)
+    left, right = rows.toDF("token", "g", "n", "at", "low", "high"), rows.toDF("token", "h", "m", "to", "low_", "high_")
+    apart = ~_one_component("low", "high", "low_", "high_")
+    pairs = left.join(right, "token").where(F.col("g") < F.col("h")).where(apart & _room("n", "m", "at", "to", percent))
+    pairs = pairs.select("g", "h").distinct().union(own.select("group", "group"))
+    ends = _labelled(member, comp, "node", "comp").select("group", "node", "comp")
+    pairs = pairs.join(ends.toDF("g", "a", "comp_a"), "g").join(ends.toDF("h", "b", "comp_b"), "h")
+    pairs = pairs.where("comp_a <> comp_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = _contracted(similar_pairs(pairs.distinct()), comp)
     comp = components(stored(more.union(comp.toDF("a", "b")), "jaccard-links"))
 
     named = nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    named = stored(named, "jaccard-named")
+    return stored(named, "jaccard-named", lasting=True)
+
+
+@operator
+def similar_components(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = 5,
+    percent: int = 80,
+    hub_rounds: int = 2,
+) -> DataFrame:
+    """Components of documents linked by Jaccard similarity of their word shingles.
+
+    Two documents link when ``100 * |intersection| >= percent * |union|`` of their sets of
+    ``size`` words in a row (of all words, if they are fewer). Returns a row for each input
+    row: the id, ``h`` (hash of its text), ``n_shingles``, ``component_id`` (smallest id
+    reachable by links) and ``stays`` (whether the row is the one of its component with the
+    smallest id, then hash). Null texts and texts without words have 0 shingles and their
+    own id, and stay. Rows of equal id are separate documents; a null id is never the
+    smallest of others.
+    """
+    with scratch_scope(docs.sparkSession):
+        named = _named(docs, id_col, text_col, size, percent, hub_rounds)
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("first")
     least = named.where("node is not null").groupBy("comp").agg(F.min("id").alias("least"), least)
     own = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h"))
@@ -340,10 +345,8 @@ def _labelled(rows: DataFrame, comp: DataFrame, node: str, label: str) -> DataFr
     return found.withColumn(label, F.coalesce(label, node))
 
 
-def _across(pairs: DataFrame, comp: DataFrame | None) -> DataFrame:
+def _across(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     """Pairs whose ends lie in different components."""
-    if comp is None:
-        return pairs
     return _labelled(_labelled(pairs, comp, "a", "comp_a"), comp, "b", "comp_b").where("comp_a <> comp_b").select("a", "b")
 
 
@@ -353,13 +356,35 @@ def _contracted(links: DataFrame, comp: DataFrame) -> DataFrame:
     return found.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct()
 
 
-def _open_tokens(tokens: DataFrame, member: DataFrame, comp: DataFrame) -> DataFrame:
-    """Rows of the prefix shingles whose groups lie in two components or more."""
+def _one_component(low: str, high: str, low_: str, high_: str) -> Column:
+    """Whether all members of two groups lie in one component; no if that isn't known."""
+    return F.coalesce((F.col(low) == F.col(high)) & (F.col(low_) == F.col(high_)) & (F.col(low) == F.col(low_)), F.lit(False))
+
+
+def _hubs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
+    """Group and hub group of every token; a hub of its own for each token and round.
+
+    The first round's hub has the token nearest to its front, which leaves most room.
+    """
+    rank = F.xxhash64("token", "group", F.lit(round_)) if round_ else F.col("at") / F.col("n")
+    hub = {"rank": rank, "hub": "group", "m": "n", "to": "at", "low_": "low", "high_": "high"}
+    hub = F.min(F.struct(*((F.col(c) if isinstance(c, str) else c).alias(k) for k, c in hub.items())))
+    hub = rows.groupBy("token").agg(hub.alias("hub")).select("token", "hub.*")
+    near = rows.join(hub, "token").where("group <> hub").where(~_one_component("low", "high", "low_", "high_"))
+    return near.where(_room("n", "m", "at", "to", percent)).select("group", "hub").distinct()
+
+
+def _open(tokens: DataFrame, inner: DataFrame, member: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the prefix shingles, and groups, whose members lie in two components or more.
+
+    Rows carry the smallest and largest component of their group, ``low`` and ``high``.
+    """
     of_group = _labelled(member, comp, "node", "comp").groupBy("group")
     of_group = of_group.agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-    rows = tokens.join(of_group, "group")
+    rows = tokens.join(of_group, "group").select(*tokens.columns, "low", "high")
     of_token = rows.groupBy("token").agg(F.min("low").alias("lowest"), F.max("high").alias("highest"))
-    return tokens.join(of_token.where("lowest <> highest").select("token"), "token", "left_semi")
+    rows = rows.join(of_token.where("lowest <> highest").select("token"), "token", "left_semi")
+    return rows, inner.select("group").join(of_group.where("low <> high"), "group", "left_semi")
 
 
 @operator

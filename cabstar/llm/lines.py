@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabstar.llm.common import Memo, map_rows, operator, stored, words_of
+from cabstar.sources.sinks import scratch_scope
 
 #: Lines of fewer words than asked are short headings only below so many bytes (five Chinese or Japanese characters).
 SHORT_BYTES = 16
@@ -188,6 +189,31 @@ def _verified(links: DataFrame, words: DataFrame) -> DataFrame:
     return map_rows(both, lambda: row, "ok boolean", ("words", "other"), ("key",)).where("ok").select("key").distinct()
 
 
+def _removed(docs: DataFrame, least_words: int, fuzzy_words: int) -> DataFrame:
+    """id, h, x of the lines that repeat earlier ones."""
+    lines = stored(_lines(docs, least_words, fuzzy_words), "lines")
+    order = F.struct("id", "h", "line")
+    ends = F.min(order).alias("first"), F.max(order).alias("last")
+    first = stored(lines.groupBy("key").agg(*ends, F.first("halves").alias("halves")), "lines-first")
+
+    halves = first.select("key", F.explode("halves").alias("half"))
+    shared = halves.groupBy("half").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z")
+    partners = halves.join(shared.select("half"), "half", "left_semi").select("key").distinct()
+    places = first.join(partners, "key", "left_semi").select("key", "first.id", "first.h", "first.line")
+    words = stored(_candidate_words(docs, places), "lines-words")
+
+    rows = _variant_rows(words, fuzzy_words)
+    equal = rows.groupBy("variant").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z")
+    rows = rows.join(equal.select("variant"), "variant", "left_semi")
+    rows = stored(rows.join(first.select("key", "first"), "key"), "lines-variants")
+    near = _verified(_earlier_partners(rows), words).withColumn("near", F.lit(True))
+
+    marks = first.join(near, "key", "left").where("near or first <> last").select("key", "first", "near")
+    removed = lines.join(marks, "key").where(F.coalesce("near", F.lit(False)) | (order > F.col("first")))
+    # lines from 0 on; a short line, which stays, as -1 and below
+    return removed.select("id", "h", F.when(F.col("short"), -1 - F.col("line")).otherwise(F.col("line")).alias("x"))
+
+
 @operator
 def dedup_lines(
     docs: DataFrame,
@@ -218,27 +244,8 @@ def dedup_lines(
         F.col(text_col).alias("text"),
         *(F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)),
     )
-    lines = stored(_lines(docs, least_words, fuzzy_words), "lines")
-    order = F.struct("id", "h", "line")
-    ends = F.min(order).alias("first"), F.max(order).alias("last")
-    first = stored(lines.groupBy("key").agg(*ends, F.first("halves").alias("halves")), "lines-first")
-
-    halves = first.select("key", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z")
-    partners = halves.join(shared.select("half"), "half", "left_semi").select("key").distinct()
-    places = first.join(partners, "key", "left_semi").select("key", "first.id", "first.h", "first.line")
-    words = stored(_candidate_words(docs, places), "lines-words")
-
-    rows = _variant_rows(words, fuzzy_words)
-    equal = rows.groupBy("variant").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z")
-    rows = rows.join(equal.select("variant"), "variant", "left_semi")
-    rows = stored(rows.join(first.select("key", "first"), "key"), "lines-variants")
-    near = _verified(_earlier_partners(rows), words).withColumn("near", F.lit(True))
-
-    marks = first.join(near, "key", "left").where("near or first <> last").select("key", "first", "near")
-    removed = lines.join(marks, "key").where(F.coalesce("near", F.lit(False)) | (order > F.col("first")))
-    # lines from 0 on; a short line, which stays, as -1 and below
-    removed = removed.select("id", "h", F.when(F.col("short"), -1 - F.col("line")).otherwise(F.col("line")).alias("x"))
+    with scratch_scope(docs.sparkSession):
+        removed = stored(_removed(docs, least_words, fuzzy_words), "lines-removed", lasting=True)
 
     def rows_():
         def row(packed, xs):
@@ -247,8 +254,8 @@ def dedup_lines(
                 return text, 0, 0, 0, 0
             gone, all_lines = {x for x in xs or () if x >= 0}, text.split("\n")
             left = [x for k, x in enumerate(all_lines) if k not in gone] if gone else all_lines
-            sizes = [len(words_of(x)) for x in left]
-            full, new = sum(n >= least_words for n in sizes), sum(n > 0 for n in sizes) - (len(xs or ()) - len(gone))
+            sizes, short = [len(words_of(x)) for x in left], {x for x in xs or () if x < 0}  # repeated rows repeat them
+            full, new = sum(n >= least_words for n in sizes), sum(n > 0 for n in sizes) - len(short)
             return "\n".join(left), len(all_lines), len(all_lines) - len(left), full, new
 
         return row

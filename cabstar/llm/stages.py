@@ -24,7 +24,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, and with them documents of which no line that is new is left."""
-    found = lines.dedup_lines(docs, keep=("lang", "source"))
+    found = lines.dedup_lines(docs, keep=("lang", "source"), least_words=1)
     found = found.where("n_removed = 0 or n_new > 0")
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
