@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from cabstar.oracle import rnd, table_sql, uncleansed, with_ctes, with_defects, xsum
+from cabstar.plans.oracle_analysis import ANALYSIS
+
 # The star's relationships and partitions, written out here again so that a
 # relationship dropped from the code under test shows up as a difference.
 _DIM_OF = {
@@ -398,4 +400,5 @@ ORACLE: dict[str, str] = {
                         _m("total_trips", "total_revenue", "avg_revenue")),
     "bi_passenger_group": _passenger_group(),
     "star_view": _star_view(),
+    **ANALYSIS,
 }

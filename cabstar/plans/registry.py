@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cabstar.operators.audit import LoadInfo
 from cabstar.oracle import BATCH_ID, LOAD_COMPLETED, LOAD_STARTED
 from cabstar.operators.cleanse import align_schema, cast_to_contract
-from cabstar.plans import bi, checks, reports
+from cabstar.plans import analysis, bi, checks, reports
 from cabstar.plans.defects import defective
 from cabstar.plans.star import star_view
 from cabstar.plans.warehouse import Warehouse
@@ -148,4 +148,16 @@ QUERIES: dict[str, Query] = {
     "bi_rate_code": _w(bi.rate_code_revenue),
     "bi_passenger_group": _w(bi.passenger_groups),
     "star_view": _w(lambda w: star_view(w.fact, w.dims)),
+    # as-of and interval joins, changes, bags, running totals, sketches, sessions
+    "asof_last_dropoff": _w(analysis.last_dropoff),
+    "asof_event_order": analysis.events_with_order,
+    "asof_purchase_view": analysis.purchase_after_view,
+    "overlapping_trips": _w(analysis.overlapping_trips),
+    "changes_fact": _w(analysis.fact_changes),
+    "changes_vendor": _w(analysis.vendor_changes),
+    "bag_raw_not_curated": _w(analysis.rows_not_curated),
+    "bag_raw_and_curated": _w(analysis.rows_curated),
+    "running_vendor": _w(analysis.vendor_running),
+    "sketch_months": _w(analysis.monthly_estimates),
+    "sessions_events": analysis.user_sessions,
 }
