@@ -26,6 +26,7 @@ from cabstar.operators.fact import build_fact_trip, validate_batch_id
 from cabstar.operators.lineage import BUCKET_SECONDS
 from cabstar.operators.marts import MARTS, build_mart, build_marts_combined, split_marts
 from cabstar.operators.summaries import SUMMARIES, build_summaries_combined, build_summary, split_summaries
+from cabstar.plans.contract import DECLARED
 from cabstar.sources import reference as ref
 from cabstar.sources.raw import scan_curated
 from cabstar.sources.sinks import materialize, read_table, scratch_scope, write_table, write_tables
@@ -185,30 +186,41 @@ def _path(base_path: str, name: str) -> str:
     return f"{base_path.rstrip('/')}/{name}"
 
 
-def _persist(spark: SparkSession, base_path: str, name: str, df: DataFrame) -> DataFrame:
-    write_table(df, _path(base_path, name), TABLE_PARTITIONS[name] or None)
-    return read_table(spark, _path(base_path, name))
+def _persist(
+    spark: SparkSession, base_path: str, name: str, df: DataFrame, periods: Periods | None = None
+) -> DataFrame:
+    """Write a table that stands for the given periods (None: for all), and read it back."""
+    write_table(df, _path(base_path, name), TABLE_PARTITIONS[name] or None, replaces=_replaced(name, periods))
+    return read_table(spark, _path(base_path, name), df.schema)
+
+
+def _replaced(name: str, periods: Periods | None) -> list[tuple] | None:
+    """Partitions of a table that the periods stand for; None: all."""
+    if periods is None or not TABLE_PARTITIONS[name]:
+        return None
+    return sorted({p[: len(TABLE_PARTITIONS[name])] for p in periods})
 
 
 def load_curated(raw: DataFrame, base_path: str) -> Periods:
     """Cleanse raw files into the curated table; return the (year, month) partitions it changed.
 
-    A file's rows replace what is stored of that file, in whatever months they lie; rows
-    of other files stay. Feeds without ``source_file_name`` replace whole months.
+    A file's rows replace what is stored of that file, in whatever months they lie, also
+    where the file no longer has any; rows of other files stay. Feeds without
+    ``source_file_name`` replace whole months.
     """
     spark = raw.sparkSession
     new = materialize(cleanse(raw), "curated")
     stored = _existing(spark, _path(base_path, "silver"))
     periods = new.select(*PERIOD).distinct()
     if stored is not None and "source_file_name" in new.columns:
-        files = new.select("source_file_name").distinct()
+        files = materialize(raw.select("source_file_name").distinct(), "curated-files")  # also those without a valid row
         periods = periods.union(stored.join(files, "source_file_name", "left_semi").select(*PERIOD)).distinct()
         others = stored.join(files, "source_file_name", "left_anti")
         # read in full before the same partitions are overwritten
         kept = materialize(others.join(periods, PERIOD, "left_semi"), "curated-kept")
         new = new.unionByName(kept, allowMissingColumns=True)
     changed = [(r["pickup_year"], r["pickup_month"]) for r in periods.collect()]  # a row a month
-    _persist(spark, base_path, "silver", new)
+    _persist(spark, base_path, "silver", new, sorted(changed))
     return sorted(changed)
 
 
@@ -216,9 +228,9 @@ def load_marts(
     spark: SparkSession, base_path: str, curated: str | None = None, periods: Periods | None = None
 ) -> dict[str, DataFrame]:
     """Rebuild the marts of all or the given months from a curated path or catalog table."""
-    silver = _in_periods(scan_curated(spark, curated or _path(base_path, "silver")), periods)
+    silver = _in_periods(scan_curated(spark, curated or _path(base_path, "silver"), DECLARED["silver"]), periods)
     rows = materialize(build_marts_combined(silver), "marts")
-    return _write_all(spark, {MART_TABLES[n]: df for n, df in split_marts(rows).items()}, base_path)
+    return _write_all(spark, {MART_TABLES[n]: df for n, df in split_marts(rows).items()}, base_path, periods)
 
 
 def load_star(
@@ -241,13 +253,13 @@ def load_star(
     audit row is written last, with the times at which the load began and ended.
     """
     info = check_batch(spark, base_path, info)
-    silver = scan_curated(spark, curated or _path(base_path, "silver"))
+    silver = scan_curated(spark, curated or _path(base_path, "silver"), DECLARED["silver"])
     source = silver
     if periods is not None and "source_file_name" in silver.columns:
         files = _in_periods(silver, periods).select("source_file_name").distinct()
         source = silver.join(files, "source_file_name", "left_semi")
     done = {"fact_trip": _persist(spark, base_path, "fact_trip",
-                                  _in_periods(build_fact_trip(source, info.batch_id, bucket_seconds), periods))}
+                                  _in_periods(build_fact_trip(source, info.batch_id, bucket_seconds), periods), periods)}
     lap("fact")
     fact = done["fact_trip"]
     given = {"silver": _in_periods(silver, periods), **done, "_codes": materialize(D.fact_codes(fact), "codes")}
@@ -262,7 +274,7 @@ def load_star(
     if periods is not None:
         years = sorted({y for y, _ in periods})
         tables[SUMMARY_TABLES["daily"]] = build_summary(fact.where(F.col("pickup_year").isin(years)), "daily")
-    done |= _write_all(spark, tables, base_path)
+    done |= _write_all(spark, tables, base_path, periods)
     lap("summaries")
     audit = dim_ingestion_batch(load_counts(given["silver"]), replace(info, load_completed_utc=utc_now()))
     done |= _write_all(spark, {"dim_ingestion_batch": audit.coalesce(1)}, base_path)
@@ -324,22 +336,25 @@ def _load_layers(raw, base_path, info, zones, date_range, bucket_seconds, scope_
     if scope_years is not None or scope_months is not None:
         asked = {tuple(p) for p in scope_months or []}
         if scope_years:
-            silver = read_table(spark, _path(base_path, "silver")).where(F.col("pickup_year").isin(scope_years))
+            silver = read_table(spark, _path(base_path, "silver"), DECLARED["silver"]).where(F.col("pickup_year").isin(scope_years))
             asked |= {(r["pickup_year"], r["pickup_month"]) for r in silver.select(*PERIOD).distinct().collect()}
         periods = sorted(asked | set(changed))
     lap("cleanse")
-    done = {"silver": read_table(spark, _path(base_path, "silver"))}
+    done = {"silver": read_table(spark, _path(base_path, "silver"), DECLARED["silver"])}
     done |= load_marts(spark, base_path, periods=periods)
     lap("marts")
     done |= load_star(spark, base_path, info, None, zones, date_range, bucket_seconds, periods, lap)
     return done
 
 
-def _write_all(spark: SparkSession, tables: dict[str, DataFrame], base_path: str) -> dict[str, DataFrame]:
+def _write_all(
+    spark: SparkSession, tables: dict[str, DataFrame], base_path: str, periods: Periods | None = None
+) -> dict[str, DataFrame]:
     """Write independent tables concurrently and return their read-back frames."""
+    mode = lambda name: "append" if name == "dim_ingestion_batch" else "overwrite"
     jobs = [
-        (df, _path(base_path, name), TABLE_PARTITIONS[name] or None, "append" if name == "dim_ingestion_batch" else "overwrite")
+        (df, _path(base_path, name), TABLE_PARTITIONS[name] or None, mode(name), _replaced(name, periods))
         for name, df in tables.items()
     ]
     write_tables(jobs)
-    return {name: read_table(spark, _path(base_path, name)) for name in tables}
+    return {name: read_table(spark, _path(base_path, name), df.schema) for name, df in tables.items()}

@@ -1,21 +1,43 @@
 from pyspark.sql import functions as F
 
 from cabstar.operators.cleanse import cleanse
-from cabstar.sources.raw import read_zone_lookup, scan_curated, scan_raw
+from cabstar.sources.raw import read_zone_lookup, scan_curated, scan_raw, schema_groups
+from cabstar.sources.trips import raw_trips
+from tests.conftest import SF_SMALL
 
 
 def test_scan_raw_discovers_partitions_merges_schemas_and_stamps_files(spark, scratch):
-    old = spark.createDataFrame([(1, 10.0)], "VendorID int, fare_amount double")
-    new = spark.createDataFrame([(2, 12.0, 2.5)], "VendorID int, fare_amount double, congestion_surcharge double")
+    trips = raw_trips(spark, SF_SMALL).drop("source_file_name").limit(1)
+    old = trips.withColumns({"vendorid": F.lit(1), "fare_amount": F.lit(10.0)}).withColumnRenamed("vendorid", "VendorID")
+    new = old.withColumns({"VendorID": F.lit(2), "fare_amount": F.lit(12.0), "congestion_surcharge": F.lit(2.5)})
     old.write.parquet(f"{scratch}/raw/year=2019/month=01")
     new.write.parquet(f"{scratch}/raw/year=2025/month=01")
     df = scan_raw(spark, f"{scratch}/raw")
     assert {"year", "month", "congestion_surcharge", "source_file_name"} <= set(df.columns)
-    rows = {r["VendorID"]: r for r in df.collect()}
+    rows = {r["vendorid"]: r for r in df.collect()}
     assert rows[1]["congestion_surcharge"] is None and rows[2]["congestion_surcharge"] == 2.5
     assert rows[1]["source_file_name"].endswith(".parquet") and "year=2019" in rows[1]["source_file_name"]
 
 
+def test_many_files_of_few_schemas_take_few_jobs(spark, scratch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    kinds = [pa.int32(), pa.int64(), pa.float64()]
+    for i in range(200):  # the type changes twice, at places that no halving meets early
+        table = pa.table({"VendorID" if i < 90 else "vendorid": pa.array([i], kinds[(i >= 61) + (i >= 147)])})
+        pq.write_table(table, f"{scratch}/{i:03d}.parquet")
+    names = [f"{scratch}/{i:03d}.parquet" for i in range(200)]
+    spark.sparkContext.setJobGroup("schemas", "schemas")
+    groups = schema_groups(spark, names)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("schemas")
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert sorted(f for _, files in groups for f in files) == names
+    assert sorted(s.fields[0].dataType.simpleString() for s, _ in groups)[0] == "bigint" and len(groups) <= 6
+    assert len(jobs) <= 40, len(jobs)
+    assert sum(spark.read.schema(s).parquet(*files).count() for s, files in groups) == 200
+
+
 def test_scan_curated_by_path_or_table(spark, scratch):
     spark.range(3).write.parquet(f"{scratch}/cur")
     assert scan_curated(spark, f"{scratch}/cur").count() == 3
