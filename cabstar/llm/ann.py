@@ -13,6 +13,7 @@ component that gives all of a shard the same norm.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -25,27 +26,35 @@ from cabstar.llm.common import operator, stored
 DEGREE = 32
 BEAM = 64
 #: A shard's vectors are held in one task's memory, so this bounds it.
-SHARD_ROWS = 100_000
+SHARD_ROWS = 30_000
 LEAST_SHARDS = 16
 #: Queries that meet a shard in one task.
 QUERY_BLOCK = 20_000
+#: Entry nodes of a graph, times the root of its size, and how many of them a search begins at.
+ENTRIES, _FIRST = 4, 16
 _STEP, _BATCH = 4, 256
 
 
-def beam_search(queries, vectors, edges, entry, beam, need_seen=False):
+def beam_search(queries, vectors, edges, entries, beam, need_seen=False):
     """Nodes of largest inner product for each query, best first (-1: none), and all it saw.
 
-    Each step expands the best ``_STEP`` nodes of a beam that are not expanded yet.
+    A search begins at the best of the ``entries``. Each step expands the best ``_STEP``
+    nodes of a beam that are not expanded yet.
     """
     q, n = len(queries), len(vectors)
     beam = min(beam, n)
+    entries = np.asarray(entries)
+    first = min(beam, len(entries), _FIRST)
     rows = np.arange(q)[:, None]
     ids = np.full((q, beam), -1, np.int64)
     score = np.full((q, beam), -np.inf, np.float32)
     done = np.ones((q, beam), bool)
-    ids[:, 0], score[:, 0], done[:, 0] = entry, queries @ vectors[entry], False
+    near = queries @ vectors[entries].T
+    at = np.argpartition(-near, first - 1, axis=1)[:, :first]
+    ids[:, :first], score[:, :first], done[:, :first] = entries[at], np.take_along_axis(near, at, 1), False
     seen = np.zeros((q, n + 1), bool)
-    seen[:, [entry, n]] = True
+    seen[:, n] = True
+    seen[rows, ids[:, :first]] = True
     expanded = []
     while not done.all():
         open_ = np.where(done, -np.inf, score)
@@ -101,13 +110,15 @@ def robust_prune(points, candidates, vectors, degree, alpha):
 
 
 def build_graph(vectors: np.ndarray, degree=DEGREE, beam=BEAM, alphas=(1.0, 1.2), seed=0):
-    """Edges (n rows of ``degree``; n stands for none) and the entry node."""
+    """Edges (n rows of ``degree``; n stands for none) and the entry nodes, the medoid first."""
     n = len(vectors)
     norms = (vectors.astype(np.float64) ** 2).sum(axis=1)
     extra = np.sqrt(np.maximum(norms.max() - norms, 0))[:, None]
     space = np.concatenate([vectors, extra], axis=1).astype(np.float32)
     entry = int(((space - space.mean(axis=0)) ** 2).sum(axis=1).argmin())
     rng = np.random.default_rng(seed)
+    others = rng.permutation(n)[: ENTRIES * math.isqrt(n)]  # a cluster larger than the beam is entered as others are
+    entries = np.concatenate([[entry], others[others != entry]])
     edges = np.full((n + 1, degree), n, np.int64)  # the last row has the edges of none
     if n > 1:
         edges[:n, : min(degree, n - 1) // 2 + 1] = rng.integers(0, n, (n, min(degree, n - 1) // 2 + 1))
@@ -116,11 +127,11 @@ def build_graph(vectors: np.ndarray, degree=DEGREE, beam=BEAM, alphas=(1.0, 1.2)
         order = rng.permutation(n)
         for a in range(0, n, _BATCH):
             points = order[a : a + _BATCH]
-            _, expanded = beam_search(centre[points], space, edges, entry, beam, need_seen=True)
+            _, expanded = beam_search(centre[points], space, edges, entries, beam, need_seen=True)
             near = robust_prune(points, np.concatenate([expanded, edges[points]], axis=1), space, degree, alpha)
             edges[points] = near
             _add_reverse(points, near, edges, space, degree, alpha)
-    return edges, entry
+    return edges, entries
 
 
 def _add_reverse(points, near, edges, space, degree, alpha):
@@ -169,13 +180,15 @@ def build_index(nodes: DataFrame, shard_rows: int = SHARD_ROWS, degree: int = DE
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node", ignore_index=True)
         vectors = np.array(group["v"].tolist(), np.float32)
-        edges, entry = build_graph(vectors, degree, beam, seed=int(group["shard"].iloc[0]))
-        group["place"], group["entry"] = np.arange(len(group)), entry
+        edges, entries = build_graph(vectors, degree, beam, seed=int(group["shard"].iloc[0]))
+        group["place"] = np.arange(len(group))
+        group["entry"] = group["place"].isin(entries)
         group["edges"] = [e[e < len(group)].astype(np.int32) for e in edges[:-1]]
         return group[["dim", "shard", "place", "node", "ids", "v", "edges", "entry"]]
 
     kind = nodes.schema["v"].dataType.simpleString()
-    schema = f"dim int, shard int, place int, node long, ids array<long>, v {kind}, edges array<int>, entry int"
+    schema = f"dim int, shard int, place int, node long, ids array<long>, v {kind}, edges array<int>, entry boolean"
+    dealt = dealt.repartition(4 * shards, "dim", "shard")  # a number given isn't coalesced: shards stay in tasks of their own
     return dealt.groupBy("dim", "shard").applyInPandas(build, schema)
 
 
@@ -205,11 +218,11 @@ def search(
         edges = np.full((n + 1, degree), n, np.int64)
         for i, e in enumerate(shard["edges"]):
             edges[i, : len(e)] = e
-        ids, out = shard["ids"].tolist(), []
+        ids, entries, out = shard["ids"].tolist(), np.flatnonzero(shard["entry"]), []
         wanted = np.array(asked["v"].tolist(), np.float64)
         for a in range(0, len(asked), _BATCH):
             part = wanted[a : a + _BATCH]
-            near, _ = beam_search(part.astype(np.float32), vectors, edges, int(shard["entry"].iloc[0]), max(beam, k))
+            near, _ = beam_search(part.astype(np.float32), vectors, edges, entries, max(beam, k))
             for q, row, node in zip(part, near, asked["node"].iloc[a : a + _BATCH], strict=True):
                 row = row[row >= 0]
                 score = (exact[row] * q).sum(axis=1)

@@ -71,3 +71,15 @@ def test_every_vector_is_indexed_and_edges_are_diverse(spark):
     index = ann.build_index(nodes, shard_rows=20).collect()
     assert sorted(r.node for r in index) == list(range(500)) and len({r.shard for r in index}) == 25
     assert all(len(r.edges) <= ann.DEGREE and len(set(r.edges)) == len(r.edges) for r in index)
+
+
+def test_recall_in_a_whole_shard():
+    """30,000 vectors of clusters that are larger than the beam, in one shard."""
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((200, 16))
+    vectors = (centres[rng.integers(0, 200, ann.SHARD_ROWS)] + 0.3 * rng.standard_normal((ann.SHARD_ROWS, 16))).astype(np.float32)
+    edges, entries = ann.build_graph(vectors, alphas=(1.2,))
+    queries = vectors[::100]
+    found, _ = ann.beam_search(queries, vectors, edges, entries, ann.BEAM)
+    want = np.argsort(-(queries @ vectors.T), axis=1)[:, :20]
+    assert np.mean([len(set(a[:20]) & set(b)) / 20 for a, b in zip(found, want, strict=True)]) >= 0.9
