@@ -15,7 +15,7 @@ from cabstar.plans.warehouse import Warehouse
 
 def _by(w: Warehouse, fk: str, dim: str, dim_key: str, attrs: list[str], measures: list[str]) -> DataFrame:
     """Measures of the fact grouped by attributes of one dimension."""
-    rolled = dim_join(rollup(w.fact, [fk]), w.dims[dim], fk, dim_key, {a: a for a in attrs})
+    rolled = dim_join(rollup(w.fact, [fk], measures), w.dims[dim], fk, dim_key, {a: a for a in attrs})
     return reaggregate(rolled, attrs).select(*attrs, *[measure(m).alias(m) for m in measures])
 
 
@@ -26,7 +26,7 @@ def _top(df: DataFrame, by: str, tie: str, n: int) -> DataFrame:
 # B1 / B2 ------------------------------------------------------------------------------
 def kpis(w: Warehouse) -> DataFrame:
     measures = ["total_trips", "total_revenue", "total_fare", "total_tips", "revenue_per_trip"]
-    return rollup(w.fact, []).select(*[measure(m).alias(m) for m in measures])
+    return rollup(w.fact, [], measures).select(*[measure(m).alias(m) for m in measures])
 
 
 def monthly_metrics(w: Warehouse) -> DataFrame:
@@ -71,7 +71,7 @@ def payment_share(w: Warehouse) -> DataFrame:
 def weekday_hour_heatmap(w: Warehouse) -> DataFrame:
     # hours, not seconds of the day: a roll-up on the time key would be as large as the fact
     hour = F.floor(F.col("pickup_time_key") / 10000).cast("int").alias("pickup_hour")
-    rolled = rollup(w.fact, ["pickup_date_key", hour])
+    rolled = rollup(w.fact, ["pickup_date_key", hour], ["total_trips"])
     rolled = dim_join(rolled, w.dims["dim_date"], "pickup_date_key", "date_key",
                       {"day_of_week": "day_of_week", "day_of_week_number": "day_of_week_number"})
     hours = w.dims["dim_time"].groupBy("hour").agg(F.first("hour").alias("known"))
@@ -109,13 +109,12 @@ def top_dropoff_zones(w: Warehouse, n: int = 10) -> DataFrame:
 
 def routes(w: Warehouse) -> DataFrame:
     loc = w.dims["dim_location"]
-    rolled = rollup(w.fact, ["pu_location_key", "do_location_key"])
+    measures = ["total_trips", "total_revenue", "avg_trip_distance"]
+    rolled = rollup(w.fact, ["pu_location_key", "do_location_key"], measures)
     rolled = dim_join(rolled, loc, "pu_location_key", "location_key", {"zone": "pickup_zone"})
     rolled = dim_join(rolled, loc, "do_location_key", "location_key", {"zone": "dropoff_zone"})
     attrs = ["pickup_zone", "dropoff_zone"]
-    return reaggregate(rolled, attrs).select(
-        *attrs, *[measure(m).alias(m) for m in ["total_trips", "total_revenue", "avg_trip_distance"]]
-    )
+    return reaggregate(rolled, attrs).select(*attrs, *[measure(m).alias(m) for m in measures])
 
 
 # B11 ----------------------------------------------------------------------------------
@@ -173,11 +172,10 @@ def filtered_fact(w: Warehouse, f: FilterSet) -> DataFrame:
 
 
 def filtered_kpis_by_vendor(w: Warehouse, f: FilterSet) -> DataFrame:
-    rolled = dim_join(rollup(filtered_fact(w, f), ["vendor_key"]), w.dims["dim_vendor"], "vendor_key",
+    measures = ["total_trips", "total_revenue", "avg_revenue"]
+    rolled = dim_join(rollup(filtered_fact(w, f), ["vendor_key"], measures), w.dims["dim_vendor"], "vendor_key",
                       "vendor_key", {"vendor_name": "vendor_name"})
-    return reaggregate(rolled, ["vendor_name"]).select(
-        "vendor_name", *[measure(m).alias(m) for m in ["total_trips", "total_revenue", "avg_revenue"]]
-    )
+    return reaggregate(rolled, ["vendor_name"]).select("vendor_name", *[measure(m).alias(m) for m in measures])
 
 
 # B12 / B13 ----------------------------------------------------------------------------

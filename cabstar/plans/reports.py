@@ -14,8 +14,9 @@ from cabstar.plans.warehouse import Warehouse
 
 
 def quality_distribution(w: Warehouse) -> DataFrame:
+    measures = ["total_trips", "total_revenue"]
     rolled = dim_join(
-        rollup(w.fact, ["trip_quality_key"]), w.dims["dim_trip_quality"], "trip_quality_key", "trip_quality_key",
+        rollup(w.fact, ["trip_quality_key"], measures), w.dims["dim_trip_quality"], "trip_quality_key", "trip_quality_key",
         {"quality_code": "quality_code", "quality_description": "quality_description"},
     )
     return (
@@ -34,7 +35,8 @@ def batch_audit(w: Warehouse) -> DataFrame:
 
 
 def daily_revenue(w: Warehouse) -> DataFrame:
-    rolled = dim_join(rollup(w.fact, ["pickup_date_key"]), w.dims["dim_date"], "pickup_date_key", "date_key",
+    measures = ["total_trips", "total_revenue", "avg_revenue", "avg_trip_distance"]
+    rolled = dim_join(rollup(w.fact, ["pickup_date_key"], measures), w.dims["dim_date"], "pickup_date_key", "date_key",
                       {"calendar_date": "calendar_date"})
     return (
         reaggregate(rolled, ["calendar_date"])
@@ -47,7 +49,8 @@ def daily_revenue(w: Warehouse) -> DataFrame:
 
 
 def vendor_performance(w: Warehouse) -> DataFrame:
-    rolled = dim_join(rollup(w.fact, ["vendor_key"]), w.dims["dim_vendor"], "vendor_key", "vendor_key",
+    measures = ["total_trips", "total_revenue", "revenue_per_mile"]
+    rolled = dim_join(rollup(w.fact, ["vendor_key"], measures), w.dims["dim_vendor"], "vendor_key", "vendor_key",
                       {"vendor_name": "vendor_name"})
     return (
         reaggregate(rolled, ["vendor_name"])
@@ -59,7 +62,8 @@ def vendor_performance(w: Warehouse) -> DataFrame:
 
 
 def payment_behaviour(w: Warehouse) -> DataFrame:
-    rolled = dim_join(rollup(w.fact, ["payment_type_key"]), w.dims["dim_payment_type"], "payment_type_key",
+    measures = ["total_trips", "total_revenue", "total_tips", "tip_pct"]
+    rolled = dim_join(rollup(w.fact, ["payment_type_key"], measures), w.dims["dim_payment_type"], "payment_type_key",
                       "payment_type_key", {"payment_type_description": "payment_type_description"})
     return (
         reaggregate(rolled, ["payment_type_description"])

@@ -8,7 +8,7 @@ A report "fact JOIN dimension GROUP BY dimension attribute" is computed as
   3. re-aggregate the exact partial measures by the dimension attributes.
 This equals join-then-aggregate, duplicate dimension keys included (each joined dim row
 carries its key's totals, as each fact row would be repeated). Partial measures are
-DECIMAL sums and integer counts, so re-aggregation is exact and order-free.
+integer and DECIMAL sums and counts, so re-aggregation is exact and order-free.
 
 The denormalised ``star_view`` (every fact row with all its dimensions) cannot be
 pre-aggregated; there the optimizer and adaptive execution choose each join from the
@@ -17,6 +17,8 @@ dimension's size in bytes.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,49 +28,67 @@ from cabstar.functions.money import exact_parts, exact_total
 _EXACT = {"revenue": "total_amount", "fare": "fare_amount", "tips": "tip_amount", "distance": "trip_distance"}
 
 
-def _partials() -> dict[str, Column]:
-    out = {
-        "trips": F.count(F.lit(1)),
-        "trip_count": F.sum("trip_count"),
-        "passengers": F.sum("passenger_count"),
-        "known_passengers": F.sum(F.when(F.col("passenger_count") >= 0, F.col("passenger_count"))),
-        "seconds": F.sum(F.unix_timestamp("dropoff_ts") - F.unix_timestamp("pickup_ts")),
+#: Measure -> the partials it is made of.
+_NEEDS = {
+    "total_trips": ("trips",),
+    "total_passengers": ("passengers",),
+    "known_passengers": ("known_passengers",),
+    "total_revenue": ("revenue",),
+    "total_fare": ("fare",),
+    "total_tips": ("tips",),
+    "total_distance": ("distance",),
+    "avg_revenue": ("revenue", "trips"),
+    "avg_fare": ("fare", "trips"),
+    "avg_trip_distance": ("distance", "trips"),
+    "avg_trip_duration_minutes": ("seconds", "trips"),
+    "revenue_per_trip": ("revenue", "trip_count"),
+    "revenue_per_mile": ("revenue", "distance"),
+    "tip_pct": ("tips", "fare"),
+}
+
+
+def _parts(name: str) -> tuple[str, str, str]:
+    return f"_p_{name}", f"_p_{name}_decimal", f"_p_{name}_others"
+
+
+def _partials(name: str) -> list[Column]:
+    if name in _EXACT:
+        return [part.alias(p) for p, part in zip(_parts(name), exact_parts(_EXACT[name]))]
+    known = F.col("passenger_count")
+    plain = {
+        "trips": lambda: F.count(F.lit(1)),
+        "trip_count": lambda: F.sum("trip_count"),
+        "passengers": lambda: F.sum(known),
+        "known_passengers": lambda: F.sum(F.when(known >= 0, known)),
+        "seconds": lambda: F.sum(F.unix_timestamp("dropoff_ts") - F.unix_timestamp("pickup_ts")),
     }
-    for name, column in _EXACT.items():
-        out[name], out[f"{name}_others"] = exact_parts(column)
-    return out
+    return [plain[name]().alias(f"_p_{name}")]
 
 
-def rollup(fact: DataFrame, keys: list[str | Column]) -> DataFrame:
-    """Fact rolled up to ``keys`` with exact partial measures ``_p_*``."""
-    return fact.groupBy(*keys).agg(*[expr.alias(f"_p_{n}") for n, expr in _partials().items()])
+def rollup(fact: DataFrame, keys: list[str | Column], measures: Sequence[str]) -> DataFrame:
+    """Fact rolled up to ``keys`` with the exact partials ``_p_*`` that ``measures`` are made of."""
+    needed = dict.fromkeys(p for m in measures for p in _NEEDS[m])
+    return fact.groupBy(*keys).agg(*[part for name in needed for part in _partials(name)])
 
 
 def reaggregate(df: DataFrame, by: list[str | Column]) -> DataFrame:
-    return df.groupBy(*by).agg(*[F.sum(f"_p_{n}").alias(f"_p_{n}") for n in _partials()])
+    return df.groupBy(*by).agg(*[F.sum(c).alias(c) for c in df.columns if c.startswith("_p_")])
 
 
 def measure(name: str) -> Column:
     """Final measure from re-aggregated partials (reference BI definitions)."""
-    trips = F.col("_p_trips")
-    revenue, fare, tips, distance = (exact_total(F.col(f"_p_{n}"), F.col(f"_p_{n}_others")) for n in _EXACT)
-    out = {
-        "total_trips": trips,
-        "total_passengers": F.col("_p_passengers"),
-        "known_passengers": F.col("_p_known_passengers"),
-        "total_revenue": revenue,
-        "total_fare": fare,
-        "total_tips": tips,
-        "total_distance": distance,
-        "avg_revenue": revenue / trips,
-        "avg_fare": fare / trips,
-        "avg_trip_distance": distance / trips,
-        "avg_trip_duration_minutes": F.col("_p_seconds").cast("double") / trips / F.lit(60.0),
-        "revenue_per_trip": revenue / F.col("_p_trip_count"),
-        "revenue_per_mile": revenue / F.nullif(distance, F.lit(0.0)),
-        "tip_pct": tips / F.nullif(fare, F.lit(0.0)),
-    }
-    return out[name]
+
+    def value(partial: str) -> Column:
+        return exact_total(*map(F.col, _parts(partial))) if partial in _EXACT else F.col(f"_p_{partial}")
+
+    first, *per = (value(p) for p in _NEEDS[name])
+    if not per:
+        return first
+    if name == "avg_trip_duration_minutes":
+        return first.cast("double") / per[0] / F.lit(60.0)
+    if name in ("revenue_per_mile", "tip_pct"):
+        return first / F.nullif(per[0], F.lit(0.0))
+    return first / per[0]
 
 
 def rounded(name: str, digits: int) -> Column:

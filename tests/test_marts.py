@@ -52,6 +52,15 @@ def test_nan_infinity_and_huge_values_sum_as_plain_sums(spark):
     assert str(mart.first()["avg_trip_distance"]) == "nan" and mart.first()["total_revenue"] == 2.0
 
 
+def test_sums_of_mixed_magnitudes_and_decimals_are_exact(spark):
+    """Hundredths, other decimals and large values go through different sums; the total is that of the DECIMALs."""
+    values = [0.1, 0.2, -0.3, 19.99, -0.0, 99_999.99, 100_000.0, 123_456.78, 1.005, 0.001, 1e-7, 5e12, -7.125, 1e-12]
+    rows = [(k, x) for k, xs in enumerate([values, values[:6], values[6:], [0.0], [-0.01] * 3]) for x in xs]
+    df = spark.createDataFrame(rows, "k int, x double").repartition(5)
+    want = {r["k"]: float(r["s"]) for r in df.groupBy("k").agg(F.sum(F.col("x").cast("decimal(28,10)")).alias("s")).collect()}
+    assert {r["k"]: r["s"] for r in df.groupBy("k").agg(exact_sum("x").alias("s")).collect()} == want
+
+
 def test_one_pass_equals_single_aggregates(spark):
     curated = _curated(spark)
     combined = build_marts(curated)
