@@ -27,6 +27,8 @@ DIMS = 1 << DIMS_LOG2
 #: Labelled texts of each language that the model is fitted on, at most.
 SAMPLE_PER_LANGUAGE = 1000
 CENTROIDS = 4
+#: Ids are counted by this many leading bits of their hash before the lowest are ranked.
+RANGE_BITS = 12
 #: A text is rejected below this share of the low quantile of its length's cosines.
 QUANTILE, SLACK = 0.01, 0.5
 
@@ -106,12 +108,22 @@ def kmeans(rows: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
 
 
 def sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> DataFrame:
-    """At most ``per_language`` texts of each language: those whose id hashes lowest."""
+    """At most ``per_language`` texts of each language: those whose id hashes lowest.
+
+    A task ranks ``per_language`` ids and one range of hashes, whatever a language's share.
+    Rows of one id and language count once, with the smallest of their texts.
+    """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(text_col).alias("text")
     )
+    # how many ids lie in each range of hashes tells which ranges hold the lowest; only those are ranked
+    ids = rows.select("lang", "h").distinct().withColumn("range", F.shiftright("h", 64 - RANGE_BITS))
+    lower = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ids.groupBy("lang", "range").count().withColumn("before", F.coalesce(F.sum("count").over(lower), F.lit(0)))
+    last = ranges.where(F.col("before") < per_language).groupBy("lang").agg(F.max("range").alias("last"))
     low = Window.partitionBy("lang").orderBy("h")
-    cut = rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(low)).where(f"n <= {per_language}")
+    cut = ids.join(F.broadcast(last), "lang").where("range <= last")  # one row for each language
+    cut = cut.withColumn("n", F.row_number().over(low)).where(f"n <= {per_language}")
     cut = F.broadcast(cut.groupBy("lang").agg(F.max("h").alias("cut")))  # one row for each language
     return rows.join(cut, "lang").where("h <= cut").groupBy("lang", "h").agg(F.min("text").alias("text"))
 
@@ -215,7 +227,8 @@ def identify(
 
     Adds ``lang_pred``, ``score`` (cosine to the nearest centroid, 0 to 1) and ``rejected``.
     Null texts and texts without a letter are ``und`` with score 0 and are rejected, as is
-    everything if there is no model. A tie goes to the language that sorts first.
+    everything if there is no model. A tie goes to the language that sorts first. Repeated
+    rows give repeated results.
     """
     new = ("lang_pred", "score", "rejected")
     keep = [c for c in keep if c not in new]

@@ -1,6 +1,8 @@
 """Language identification: held-out accuracy and odd inputs."""
 
+import math
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -27,6 +29,46 @@ def test_held_out_accuracy(spark):
     assert sum(r.rejected for r in rows) <= 0.01 * len(rows)
 
 
+def test_sample_is_the_lowest_hashes_of_each_language(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang is not null and text is not null")
+    docs = docs.union(docs.where("doc_id % 3 = 0"))  # repeated rows
+    rows = docs.selectExpr("lang", "xxhash64(cast(doc_id as string)) as h", "text").collect()
+    for n in (1, 37, 100_000):
+        want = set()
+        for x in {r.lang for r in rows}:
+            want |= set(sorted({(r.h, r.lang, r.text) for r in rows if r.lang == x})[:n])
+        got = language.sample(docs, "doc_id", "text", "lang", n).collect()
+        assert {(r.h, r.lang, r.text) for r in got} == want and len(got) == len(want)
+
+
+def test_prediction_equals_comparing_all_cosines(spark, model):
+    """Vectors and cosines anew in plain Python, against every centroid."""
+
+    def cosines(text):
+        lower = text.lower().encode()
+        lower = b" " + b" ".join(bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in lower).split()) + b" "
+        counts = Counter()
+        for n, odd in ((2, 0x9E3779B1), (3, 0x85EBCA6B)):
+            for i in range(len(lower) - n + 1):
+                counts[int.from_bytes(lower[i : i + n], "little") * odd % 2**32 >> 20] += 1
+        vector = {g: math.log1p(c) * float(model.idf[g]) for g, c in counts.items()}
+        norm = math.sqrt(sum(v * v for v in vector.values()))
+        return [sum(v * float(centre[g]) for g, v in vector.items()) / norm for centre in model.centroids]
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id % 7 = 0 and n_chars < 5000").select("doc_id", "text")
+    docs = docs.union(docs.where("doc_id % 2 = 0"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = language.identify(docs, model).collect()
+    assert len(rows) == docs.count() > len(texts) > 100
+    for r in rows:
+        if language.has_letter(texts[r.doc_id]):
+            every = cosines(texts[r.doc_id])
+            assert abs(r.score - max(every)) < 1e-4
+            assert any(x == r.lang_pred and c > max(every) - 1e-4 for x, c in zip(model.languages, every))
+        else:
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+
+
 def test_odd_texts(spark, model):
     texts = [None, "", "123 --- !!", "²³", "a", "日本語", "x" * 200_000, "the and of " * 50_000, "\x00"]
     docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, score string")
