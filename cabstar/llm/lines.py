@@ -29,6 +29,8 @@ from cabstar.sources.sinks import scratch_scope
 
 #: Lines of fewer words than asked are short headings only below so many bytes (five Chinese or Japanese characters).
 SHORT_BYTES = 16
+#: A line with more than one in so many of all lines is hot; no more than so many lines can be.
+HOT_KEYS = 10_000
 
 _M = 0x9E3779B97F4A7C15
 _INVERSE = np.uint64(pow(_M, -1, 1 << 64))
@@ -194,7 +196,8 @@ def _removed(docs: DataFrame, least_words: int, fuzzy_words: int) -> DataFrame:
     lines = stored(_lines(docs, least_words, fuzzy_words), "lines")
     order = F.struct("id", "h", "line")
     ends = F.min(order).alias("first"), F.max(order).alias("last")
-    first = stored(lines.groupBy("key").agg(*ends, F.first("halves").alias("halves")), "lines-first")
+    count = F.count(F.lit(1)).alias("n")
+    first = stored(lines.groupBy("key").agg(*ends, F.first("halves").alias("halves"), count), "lines-first")
 
     halves = first.select("key", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a <> z")
@@ -208,8 +211,13 @@ def _removed(docs: DataFrame, least_words: int, fuzzy_words: int) -> DataFrame:
     rows = stored(rows.join(first.select("key", "first"), "key"), "lines-variants")
     near = _verified(_earlier_partners(rows), words).withColumn("near", F.lit(True))
 
-    marks = first.join(near, "key", "left").where("near or first <> last").select("key", "first", "near")
-    removed = lines.join(marks, "key").where(F.coalesce("near", F.lit(False)) | (order > F.col("first")))
+    marks = stored(first.join(near, "key", "left").where("near or first <> last").select("key", "first", "near", "n"), "lines-marks")
+    total = first.agg(F.sum("n")).first()[0] or 0
+    # at most HOT_KEYS keys hold more than that share of all lines; theirs meet their mark in place
+    hot = F.broadcast(marks.where(F.col("n") * HOT_KEYS > total))
+    common = lines.join(hot, "key", "left_anti").join(marks.where(F.col("n") * HOT_KEYS <= total), "key")
+    found = lines.join(hot, "key").unionByName(common)
+    removed = found.where(F.coalesce("near", F.lit(False)) | (order > F.col("first")))
     # lines from 0 on; a short line, which stays, as -1 and below
     return removed.select("id", "h", F.when(F.col("short"), -1 - F.col("line")).otherwise(F.col("line")).alias("x"))
 
