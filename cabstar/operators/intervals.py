@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cabstar.operators.lineage import time_bucket
 
 #: Width of a bucket; most intervals should fall into one or two.
-BUCKET_SECONDS = 3600
+BUCKET_SECONDS = 3 * 3600
 
 
 def _spread(df: DataFrame, keys: Sequence[str], start: str, end: str, seconds: int, side: str) -> DataFrame:
@@ -37,12 +37,15 @@ def overlap_join(
 ) -> DataFrame:
     """Pairs of rows of equal keys whose closed time intervals share a moment.
 
-    Returns the structs ``left`` and ``right`` and ``overlap_seconds`` (0 where they only
-    touch). An interval is copied to every bucket it touches and meets others there; the pair
+    Returns the keys as ``key0``, ``key1`` ..., the structs ``left`` and ``right`` and
+    ``overlap_seconds`` (0 where they only touch). An interval is copied to every bucket it touches and meets others there; the pair
     is given out in the one bucket in which the later of the two begins, so it comes once and
     nothing has to be made distinct. A hot key is spread over its buckets. Rows with a null
     key, start or end, and those that end before they start, meet nothing; repeated rows pair
     each time.
+
+    No condition is about one side alone, so a frame joined with itself is shuffled once and
+    read twice, as long as the caller takes the same columns of ``left`` and ``right``.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     a = _spread(left, [k for k, _ in keys], *left_range, bucket_seconds, "left")
@@ -54,4 +57,5 @@ def overlap_join(
     )
     begin, end = F.greatest("_start_left", "_start_right"), F.least("_end_left", "_end_right")
     seconds = (F.unix_micros(end.cast("timestamp")) - F.unix_micros(begin.cast("timestamp"))) / 1_000_000
-    return meet.select("left", "right", F.floor(seconds).cast("long").alias("overlap_seconds"))
+    keyed = (F.col(name).alias(f"key{i}") for i, name in enumerate(names))
+    return meet.select(*keyed, "left", "right", F.floor(seconds).cast("long").alias("overlap_seconds"))

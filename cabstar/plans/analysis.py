@@ -18,8 +18,9 @@ def last_dropoff(w: Warehouse) -> DataFrame:
     """For each trip the latest dropoff in its pickup zone at or before the pickup, and the zone's idle time."""
     take = {"earlier_trip_id": "trip_id", "earlier_dropoff_ts": "dropoff_ts"}
     keys = [("pu_location_key", "do_location_key")]
-    trips = w.fact.select("trip_id", "pu_location_key", "do_location_key", "pickup_ts", "dropoff_ts")
-    found = asof_join(trips, trips, keys, "pickup_ts", "dropoff_ts", take, ties=["trip_id"])
+    asked = w.fact.select("trip_id", "pu_location_key", "pickup_ts")
+    known = w.fact.select("trip_id", "do_location_key", "dropoff_ts")
+    found = asof_join(asked, known, keys, "pickup_ts", "dropoff_ts", take, ties=["trip_id"])
     idle = F.unix_micros(F.col("pickup_ts").cast("timestamp")) - F.unix_micros(F.col("earlier_dropoff_ts").cast("timestamp"))
     return found.select(
         "trip_id", "pu_location_key", "pickup_ts", *take, F.floor(idle / 1_000_000).cast("long").alias("idle_seconds")
@@ -49,7 +50,7 @@ def overlapping_trips(w: Warehouse) -> DataFrame:
     pairs = overlap_join(trips, trips, [("pu_location_key", "pu_location_key")], span, span)
     pairs = pairs.where(F.col("left.trip_id") < F.col("right.trip_id"))
     return pairs.select(
-        F.col("left.pu_location_key").alias("pu_location_key"),
+        F.col("key0").alias("pu_location_key"),
         F.col("left.trip_id").alias("trip_id"),
         F.col("right.trip_id").alias("other_trip_id"),
         "overlap_seconds",
