@@ -11,8 +11,9 @@ carries its key's totals, as each fact row would be repeated). Partial measures
 integer and DECIMAL sums and counts, so re-aggregation is exact and order-free.
 
 The denormalised ``star_view`` (every fact row with all its dimensions) cannot be
-pre-aggregated; there the optimizer and adaptive execution choose each join from the
-dimension's size in bytes.
+pre-aggregated; there every dimension is broadcast. A dimension has a row a day, second or
+code, however many trips there are; a shuffle join by such a key would send all trips of a
+vendor, or of the one batch, to one task.
 """
 
 from __future__ import annotations
@@ -121,5 +122,5 @@ def star_view(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     out = fact
     for table, fk, key, cols, prefix in spec:
         d = dims[table].select(F.col(key).alias(f"_k_{fk}"), *[F.col(c).alias(prefix + c) for c in cols])
-        out = out.join(d, out[fk] == d[f"_k_{fk}"], "left").drop(f"_k_{fk}")
+        out = out.join(F.broadcast(d), out[fk] == d[f"_k_{fk}"], "left").drop(f"_k_{fk}")
     return out

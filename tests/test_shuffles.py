@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from cabstar.operators.intervals import overlap_join
+from cabstar.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,3 +27,7 @@ def test_overlaps_of_a_frame_with_itself_shuffle_it_once(spark):
         assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_star_view_sends_no_trips_by_a_dimension_key(spark):
+    assert optimized(QUERIES["star_view"](spark, SF)).count("rightHint=(strategy=broadcast)") == 11
