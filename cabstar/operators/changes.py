@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Words of 64 bits in the map of hashes that differ: 16 MB of longs at the most, whatever the tables' size.
+FILTER_WORDS = 1 << 20
+
 
 def _same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
@@ -22,46 +24,48 @@ def change_set(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
     several times; it is unchanged if both sides hold the same rows equally often. Both tables
     must have the same columns.
 
-    First each key's rows are compared by digest: only keys, counts and sums of 64-bit digests
-    are shuffled, combined on the map side, so a hot key costs a row a task. The columns are
-    then compared for the keys that differ alone.
+    First rows are compared by digest: only 64-bit hashes of keys, counts and sums of digests are
+    shuffled, combined on the map side, so a hot key costs a row a task. The hashes that differ
+    set bits of one map of ``FILTER_WORDS`` words at most, which every task gets; only rows whose
+    bit is set travel, and their keys are compared once more by themselves, so keys that share a
+    bit or a hash with one that differs do no harm.
     """
     if sorted(old.columns) != sorted(new.columns):
         raise ValueError("the tables have different columns")
     columns = [c for c in old.columns if c not in keys]
     key = [F.col(f"`{c}`") for c in keys]
-    ordered = [f"`{c}`" for c in old.columns]
-
-    def digests(df: DataFrame, is_old: int) -> DataFrame:
-        digest = F.xxhash64(*ordered).cast("decimal(38,0)")
-        return df.select(*key, F.lit(is_old).alias("_old"), digest.alias("_digest"))
-
-    both = digests(old, 1).unionAll(digests(new, 0))
-    signed = F.when(F.col("_old") == 1, F.col("_digest")).otherwise(-F.col("_digest"))
-    sums = both.groupBy(*key).agg(
-        F.sum("_old").alias("n_old"), F.sum(1 - F.col("_old")).alias("n_new"), F.sum(signed).alias("_rest")
-    )
-    differ = sums.where("n_old <> n_new or _rest <> 0").drop("_rest")
-
-    named = differ.select(*(c.alias(f"_k{i}") for i, c in enumerate(key)), "n_old", "n_new")
-    on = reduce(lambda a, b: a & b, [F.col(f"_k{i}").eqNullSafe(c) for i, c in enumerate(key)])
-
-    def values(df: DataFrame, is_old: int) -> DataFrame:
-        return df.select(*key, F.lit(is_old).alias("_old"), *(F.col(f"`{c}`") for c in columns))
+    digest = F.xxhash64(*(F.col(f"`{c}`") for c in old.columns))
+
+    def compared(df: DataFrame, is_old: int) -> DataFrame:
+        sign = 1 if is_old else -1
+        return df.withColumns({
+            "_hash": F.xxhash64(*key),
+            "_old": F.lit(is_old),
+            "_high": F.shiftright(digest, 32) * sign,
+            "_low": digest.bitwiseAND(F.lit(0xFFFFFFFF)) * sign,
+        })
+
+    both = compared(old, 1).unionByName(compared(new, 0))
+    sums = [F.sum("_old").alias("n_old"), F.sum(1 - F.col("_old")).alias("n_new"), F.sum("_high").alias("_high"), F.sum("_low").alias("_low")]
+    unequal = "n_old <> n_new or _high <> 0 or _low <> 0"
+
+    word, bit = F.pmod(F.shiftright("_hash", 6), F.lit(FILTER_WORDS)), F.expr("shiftleft(1L, cast(_hash & 63 as int))")
+    differ = both.groupBy("_hash").agg(*sums).where(unequal)
+    words = differ.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    rows = both.withColumn("_word", word).join(F.broadcast(words), "_word").where(F.col("_bits").bitwiseAND(bit) != 0)
 
-    rows = values(old, 1).unionAll(values(new, 0)).join(named, on)
     ends = []
     for i, c in enumerate(columns):
         for side, is_old in (("o", 1), ("n", 0)):
             value = F.when(F.col("_old") == is_old, F.col(f"`{c}`"))
             ends += [F.min(value).alias(f"_min_{side}{i}"), F.max(value).alias(f"_max_{side}{i}")]
-    compared = rows.groupBy(*(F.col(f"_k{i}") for i in range(len(keys))), "n_old", "n_new").agg(*ends)
+    found = rows.groupBy(*(c.alias(f"_k{i}") for i, c in enumerate(key))).agg(*sums, *ends).where(unequal)
     changed = [
         F.when(~(_same(F.col(f"_min_o{i}"), F.col(f"_min_n{i}")) & _same(F.col(f"_max_o{i}"), F.col(f"_max_n{i}"))), F.lit(c))
         for i, c in enumerate(columns)
     ]
     change = F.when(F.col("n_old") == 0, "inserted").when(F.col("n_new") == 0, "deleted").otherwise("changed")
-    return compared.select(
+    return found.select(
         *(F.col(f"_k{i}").alias(c) for i, c in enumerate(keys)),
         change.alias("change"),
         "n_old",

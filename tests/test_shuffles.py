@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from cabstar.operators import changes
+from cabstar.operators.changes import change_set
 from cabstar.operators.intervals import overlap_join
 from cabstar.plans.registry import QUERIES
 
@@ -31,3 +33,12 @@ def test_overlaps_of_a_frame_with_itself_shuffle_it_once(spark):
 
 def test_star_view_sends_no_trips_by_a_dimension_key(spark):
     assert optimized(QUERIES["star_view"](spark, SF)).count("rightHint=(strategy=broadcast)") == 11
+def test_keys_that_share_a_bit_with_a_changed_one_are_unchanged(spark, monkeypatch):
+    old = spark.range(500).select("id", F.lit("x").alias("a"), (F.col("id") % 7).alias("b"))
+    new = old.where("id <> 3").withColumn("a", F.when(F.col("id") % 50 == 0, "y").otherwise(F.col("a")))
+    want = {(i, "changed", "a") for i in range(0, 500, 50)} | {(3, "deleted", "")}
+    for words in (1, changes.FILTER_WORDS):  # 64 bits for 500 keys, and enough
+        monkeypatch.setattr(changes, "FILTER_WORDS", words)
+        found = change_set(old, new, ["id"])
+        assert {(r.id, r.change, r.changed_columns) for r in found.collect()} == want
+        assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
