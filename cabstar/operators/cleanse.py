@@ -3,11 +3,13 @@ columns and duration, apply the curated validity rules, drop exact duplicates.
 
 Everything is one projection + one filter + one distinct aggregate, so the plan is a
 single scan stage (partial distinct aggregate map-side, which also collapses hot groups
-of re-sent copies before the shuffle) and one shuffle for the final distinct.
+of re-sent copies before the shuffle) and one shuffle for the final distinct. Only the
+feed's own columns are shuffled and compared; the derived ones follow from them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -114,16 +116,22 @@ def with_trip_calendar(df: DataFrame, pickup: str, dropoff: str) -> DataFrame:
     )
 
 
-def cleanse(raw: DataFrame, ignore_lineage: bool = False) -> DataFrame:
+def cleanse(raw: DataFrame, ignore_lineage: bool = False, placed_by: Mapping[str, Column] | None = None) -> DataFrame:
     """Curated trips from raw trips.
 
     Duplicates are whole rows, lineage included: the same trip delivered in two files is
     kept twice unless ``ignore_lineage`` is set (then one arbitrary file name survives).
+
+    ``placed_by`` names expressions of a row's own columns; they are appended, and the rows are
+    shuffled by them instead of by the whole row. What then groups by these columns needs no
+    shuffle of its own.
     """
     typed = cast_to_contract(align_schema(raw))
-    curated = with_trip_calendar(typed, "tpep_pickup_datetime", "tpep_dropoff_datetime").where(
-        all_of(curated_rules())
-    )
+    curated = typed.where(all_of(curated_rules()))
+    if placed_by:
+        curated = curated.withColumns(dict(placed_by)).repartition(*placed_by)
     if ignore_lineage and "source_file_name" in curated.columns:
-        return curated.dropDuplicates([c for c in curated.columns if c != "source_file_name"])
-    return curated.dropDuplicates()
+        curated = curated.dropDuplicates([c for c in curated.columns if c != "source_file_name"])
+    else:
+        curated = curated.dropDuplicates()
+    return with_trip_calendar(curated, "tpep_pickup_datetime", "tpep_dropoff_datetime")

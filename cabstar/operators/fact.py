@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabstar.functions.casts import lenient_cast
@@ -17,7 +17,7 @@ from cabstar.functions.keys import (
     time_key,
 )
 from cabstar.operators.cleanse import Rule, align_schema, all_of
-from cabstar.operators.lineage import BUCKET_SECONDS, number_within, time_bucket
+from cabstar.operators.lineage import BUCKET_SECONDS, number_within, places, time_bucket
 
 # Fixed values of the warehouse contract.
 ID_COLUMNS = ["vendorid", "ratecodeid", "payment_type", "pulocationid", "dolocationid", "passenger_count"]
@@ -59,11 +59,17 @@ def warehouse_rules() -> list[Rule]:
     ]
 
 
+def numbering_places(bucket_seconds: int = BUCKET_SECONDS) -> dict[str, Column]:
+    """The columns by which ``build_fact_trip`` numbers curated trips, for ``cleanse(placed_by=...)``."""
+    return places("source_file_name", time_bucket("tpep_pickup_datetime", bucket_seconds))
+
+
 def normalize_trips(curated: DataFrame) -> DataFrame:
     """Typed trips with NULL ids as -1 and NULL measures as 0.0, plus calendar columns.
 
     Lineage: a ``source_file_name`` already on the input (the raw file recorded at
-    cleansing) is kept; only when absent is the scanned file stamped.
+    cleansing) is kept; only when absent is the scanned file stamped. The columns of
+    ``numbering_places`` stay.
     """
     df = align_schema(curated)
     lineage = F.col("source_file_name") if "source_file_name" in df.columns else F.col("_metadata.file_path")
@@ -77,6 +83,7 @@ def normalize_trips(curated: DataFrame) -> DataFrame:
         *[F.coalesce(lenient_cast(df, c, "int"), F.lit(UNKNOWN_KEY)).alias(c) for c in ID_COLUMNS],
         flag.cast("string").alias("store_and_fwd_flag"),
         *[F.coalesce(lenient_cast(df, c, "double"), F.lit(0.0)).alias(c) for c in MEASURE_COLUMNS],
+        *[c for c in numbering_places() if c in df.columns],
     ).withColumns(
         {
             "pickup_date": F.to_date("pickup_ts"),
@@ -101,6 +108,7 @@ def validate_batch_id(batch_id: str) -> int:
 
 
 def build_fact_trip(curated: DataFrame, batch_id: str, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """The fact of curated trips; trips placed by ``numbering_places(bucket_seconds)`` aren't shuffled again."""
     batch_key = validate_batch_id(batch_id)
     valid = valid_trips(normalize_trips(curated))
     numbered = number_within(

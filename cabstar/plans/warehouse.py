@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from cabstar.operators import dims as D
 from cabstar.operators.audit import LoadInfo, dim_ingestion_batch, load_counts, utc_now
 from cabstar.operators.cleanse import cleanse
-from cabstar.operators.fact import build_fact_trip, validate_batch_id
+from cabstar.operators.fact import build_fact_trip, numbering_places, validate_batch_id
 from cabstar.operators.lineage import BUCKET_SECONDS
 from cabstar.operators.marts import MARTS, build_mart, build_marts_combined, split_marts
 from cabstar.operators.summaries import SUMMARIES, build_summaries_combined, build_summary, split_summaries
@@ -117,7 +117,11 @@ class Warehouse:
     def fact(self) -> DataFrame:
         if "fact_trip" in self.overrides:
             return self.overrides["fact_trip"]
-        return build_fact_trip(self.silver, self.info.batch_id, self.bucket_seconds)
+        curated = self.silver
+        if "silver" not in self.overrides and "source_file_name" in self.raw.columns:
+            # the same trips, shuffled once for both the duplicates and the row numbers
+            curated = cleanse(self.raw, placed_by=numbering_places(self.bucket_seconds))
+        return build_fact_trip(curated, self.info.batch_id, self.bucket_seconds)
 
     @cached_property
     def codes(self) -> DataFrame:

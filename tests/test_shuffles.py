@@ -1,11 +1,12 @@
 """How often rows travel: one shuffle for duplicates and row numbers, none for what nobody asks."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from cabstar.operators import changes
 from cabstar.operators.changes import change_set
 from cabstar.operators.intervals import overlap_join
-from cabstar.plans.registry import QUERIES
+from cabstar.plans.registry import QUERIES, warehouse
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,6 +15,29 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_trips_are_placed_once_for_duplicates_and_numbers(spark):
+    w = warehouse(spark, SF)
+    plan = w.fact._jdf.queryExecution().executedPlan().toString()
+    numbered = plan[plan.index("row_number()") :]
+    first = numbered.index("Exchange")  # below the window: sort, distinct, then the one shuffle
+    assert "REPARTITION_BY_COL" in numbered[first:].splitlines()[0] and "HashAggregate" in numbered[:first]
+    plain = w.silver.select("tpep_pickup_datetime", "total_amount", "source_file_name")
+    fact = w.fact.select("pickup_ts", "total_amount", "source_file_name")
+    assert fact.exceptAll(plain).count() == plain.exceptAll(fact).count() == 0
+
+
+@pytest.mark.parametrize("name", ["summary_location", "check_summary_fk", "check_row_counts", "dim_vendor"])
+def test_rows_are_not_numbered_where_nobody_asks(spark, name):
+    plan = optimized(QUERIES[name](spark, SF))
+    assert not any("Join" in line and "_group#" in line for line in plan.splitlines())
+
+
+def test_line_items_travel_once(spark):
+    lines = optimized(warehouse(spark, SF).raw).splitlines()
+    depth = {key: next(i for i, line in enumerate(lines) if "Join" in line and key in line) for key in ("l_orderkey#", "o_custkey#")}
+    assert depth["l_orderkey#"] < depth["o_custkey#"]  # orders meet customers below
+
+
 def test_overlaps_of_a_frame_with_itself_shuffle_it_once(spark):
     trips = spark.range(3000).select(
         F.col("id"), (F.col("id") % 5).alias("zone"), F.timestamp_seconds(F.col("id") * 900).cast("timestamp_ntz").alias("a")
@@ -31,8 +55,6 @@ def test_overlaps_of_a_frame_with_itself_shuffle_it_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_star_view_sends_no_trips_by_a_dimension_key(spark):
-    assert optimized(QUERIES["star_view"](spark, SF)).count("rightHint=(strategy=broadcast)") == 11
 def test_keys_that_share_a_bit_with_a_changed_one_are_unchanged(spark, monkeypatch):
     old = spark.range(500).select("id", F.lit("x").alias("a"), (F.col("id") % 7).alias("b"))
     new = old.where("id <> 3").withColumn("a", F.when(F.col("id") % 50 == 0, "y").otherwise(F.col("a")))
@@ -42,3 +64,7 @@ def test_keys_that_share_a_bit_with_a_changed_one_are_unchanged(spark, monkeypat
         found = change_set(old, new, ["id"])
         assert {(r.id, r.change, r.changed_columns) for r in found.collect()} == want
         assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_star_view_sends_no_trips_by_a_dimension_key(spark):
+    assert optimized(QUERIES["star_view"](spark, SF)).count("rightHint=(strategy=broadcast)") == 11
