@@ -12,6 +12,20 @@ from cabstar.operators.lineage import time_bucket
 #: Width of a bucket; most intervals should fall into one or two.
 BUCKET_SECONDS = 3 * 3600
 
+#: Intervals for a task that pairs them, and the most tasks that ``pair_tasks`` asks for.
+TASK_ROWS, MAX_TASKS = 6_000, 20_000
+
+
+def pair_tasks(rows: int) -> int:
+    """Tasks for an ``overlap_join`` of so many intervals whose pairs are written.
+
+    A task reads few rows and writes each of them in many pairs. Parquet keeps the distinct
+    values of a column in a dictionary of 1 MB a row group, 15,000 ids of 64 characters, and
+    beyond that writes every value out. Tasks of ``TASK_ROWS`` intervals stay below it with
+    their copies in further buckets, so that a pair holds places in dictionaries, not ids.
+    """
+    return min(MAX_TASKS, max(1, -(-rows // TASK_ROWS)))
+
 
 def _spread(df: DataFrame, keys: Sequence[str], start: str, end: str, seconds: int, side: str) -> DataFrame:
     """A row for each bucket that an interval touches; all columns as one struct."""
@@ -34,6 +48,7 @@ def overlap_join(
     left_range: tuple[str, str],
     right_range: tuple[str, str],
     bucket_seconds: int = BUCKET_SECONDS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Pairs of rows of equal keys whose closed time intervals share a moment.
 
@@ -46,10 +61,15 @@ def overlap_join(
 
     No condition is about one side alone, so a frame joined with itself is shuffled once and
     read twice, as long as the caller takes the same columns of ``left`` and ``right``.
+
+    ``tasks`` deals the buckets to so many tasks (see ``pair_tasks``); by default Spark sizes
+    them by what they read, which says nothing of the pairs they make.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     a = _spread(left, [k for k, _ in keys], *left_range, bucket_seconds, "left")
     b = _spread(right, [k for _, k in keys], *right_range, bucket_seconds, "right")
+    if tasks:
+        a, b = (side.repartition(tasks, *names, "_bucket") for side in (a, b))
     meet = a.join(b, [*names, "_bucket"]).where(
         (F.col("_bucket") == F.greatest("_first_left", "_first_right"))
         & (F.col("_start_left") <= F.col("_end_right"))

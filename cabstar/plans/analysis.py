@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabstar.operators.changes import change_set, except_all, intersect_all
-from cabstar.operators.intervals import overlap_join
+from cabstar.operators.intervals import overlap_join, pair_tasks
 from cabstar.operators.sessions import sessions
 from cabstar.operators.sketches import daily_sketches, estimates, merged
 from cabstar.operators.timeline import asof_join, running_totals
@@ -44,10 +44,15 @@ def purchase_after_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overlapping_trips(w: Warehouse) -> DataFrame:
-    """Pairs of trips from one pickup zone that were under way at one time."""
+    """Pairs of trips from one pickup zone that were under way at one time.
+
+    The trips are counted first, as the pairs are far more: raw rows, of which a few are
+    rejected later, or those of a fact that is stored.
+    """
+    tasks = pair_tasks(w.overrides.get("fact_trip", w.raw).count())
     trips = w.fact.select("trip_id", "pu_location_key", "pickup_ts", "dropoff_ts")
     span = ("pickup_ts", "dropoff_ts")
-    pairs = overlap_join(trips, trips, [("pu_location_key", "pu_location_key")], span, span)
+    pairs = overlap_join(trips, trips, [("pu_location_key", "pu_location_key")], span, span, tasks=tasks)
     pairs = pairs.where(F.col("left.trip_id") < F.col("right.trip_id"))
     return pairs.select(
         F.col("key0").alias("pu_location_key"),

@@ -1,12 +1,17 @@
 """How often rows travel: one shuffle for duplicates and row numbers, none for what nobody asks."""
 
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from cabstar.operators import changes
 from cabstar.operators.changes import change_set
-from cabstar.operators.intervals import overlap_join
-from cabstar.plans.registry import QUERIES, warehouse
+from cabstar.operators.intervals import MAX_TASKS, TASK_ROWS, overlap_join, pair_tasks
+from cabstar.plans.analysis import overlapping_trips
+from cabstar.plans.registry import FIXED_LOAD, QUERIES, warehouse
+from cabstar.plans.warehouse import Warehouse
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,6 +60,35 @@ def test_overlaps_of_a_frame_with_itself_shuffle_it_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_pairs_of_trips_are_written_by_dictionary(spark, scratch):
+    """Ids of 64 characters: a task with more than fit in a dictionary writes out each of every further pair."""
+    begin = F.timestamp_seconds(F.floor(F.col("id") / 25) * 600).cast("timestamp_ntz")
+    trips = spark.range(100_000, numPartitions=4).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("trip_id"),
+        (F.col("id") % 25).cast("int").alias("pu_location_key"),
+        begin.alias("pickup_ts"),
+        (begin + F.expr("make_interval(0, 0, 0, 0, 0, 25 + id % 10)")).alias("dropoff_ts"),
+    )
+    found = overlapping_trips(Warehouse(trips, FIXED_LOAD, overrides={"fact_trip": trips}))
+    found.write.parquet(f"{scratch}/pairs")
+    encodings = {"trip_id": set(), "other_trip_id": set()}
+    for file in Path(f"{scratch}/pairs").glob("*.parquet"):
+        data = pq.ParquetFile(file).metadata
+        for column in (data.row_group(g).column(c) for g in range(data.num_row_groups) for c in range(data.num_columns)):
+            if column.path_in_schema in encodings:
+                encodings[column.path_in_schema].update(column.encodings)
+    assert all(e and "PLAIN" not in e for e in encodings.values()), encodings
+    span = ("pickup_ts", "dropoff_ts")
+    plain = overlap_join(trips, trips, [("pu_location_key", "pu_location_key")], span, span)
+    plain = plain.where("left.trip_id < right.trip_id").selectExpr("key0", "left.trip_id", "right.trip_id", "overlap_seconds")
+    stored = spark.read.parquet(f"{scratch}/pairs")
+    assert stored.count() == plain.count() > 200_000 and stored.exceptAll(plain).isEmpty()
+
+
+def test_tasks_of_pairs_grow_with_the_intervals():
+    assert [pair_tasks(n) for n in (0, 1, TASK_ROWS, TASK_ROWS + 1, 10 * TASK_ROWS, 10**12)] == [1, 1, 1, 2, 10, MAX_TASKS]
+
+
 def test_keys_that_share_a_bit_with_a_changed_one_are_unchanged(spark, monkeypatch):
     old = spark.range(500).select("id", F.lit("x").alias("a"), (F.col("id") % 7).alias("b"))
     new = old.where("id <> 3").withColumn("a", F.when(F.col("id") % 50 == 0, "y").otherwise(F.col("a")))
