@@ -63,7 +63,9 @@ def overlap_join(
     read twice, as long as the caller takes the same columns of ``left`` and ``right``.
 
     ``tasks`` deals the buckets to so many tasks (see ``pair_tasks``); by default Spark sizes
-    them by what they read, which says nothing of the pairs they make.
+    them by what they read, which says nothing of the pairs they make. Tasks dealt by number
+    are not split by Spark's skew join; that would begin at 256 MB a task (by default), some three
+    million intervals in one bucket of one key. Choose narrower buckets for such a key.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     a = _spread(left, [k for k, _ in keys], *left_range, bucket_seconds, "left")
